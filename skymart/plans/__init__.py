@@ -1,3 +1,3 @@
-from skymart.plans import enriched, marts, reports, staging
+from skymart.plans import enriched, marts, pipeline, reports, staging
 
-__all__ = ["enriched", "marts", "reports", "staging"]
+__all__ = ["enriched", "marts", "pipeline", "reports", "staging"]
