@@ -174,7 +174,7 @@ def _rank_routes(t: Inputs) -> DataFrame:
 
 def _share_of_total(t: Inputs) -> DataFrame:
     counts = t.enriched.groupBy("route").agg(exact.row_count().alias("flights"))
-    return aggregates.share_of_total(counts, "flights", "pct_of_total", 4)
+    return aggregates.share_of_total(counts, "flights", t.enriched, "pct_of_total", 4)
 
 
 def _departures_arrivals(t: Inputs) -> DataFrame:

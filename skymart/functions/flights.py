@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from skymart import schema
 
 
+def first_match(cases: list[tuple[Column, str | None]], otherwise: str | None = None) -> Column:
+    """Label of the first true condition, as one CASE: small enough code to be compiled."""
+    return reduce(lambda case, c: case.when(c[0], c[1]), cases, F).otherwise(otherwise)
+
+
 def minutes_or_zero(minutes: Column) -> Column:
     return F.coalesce(minutes, F.lit(0.0))
 
@@ -24,10 +29,9 @@ def hhmm_hour(hhmm: Column) -> Column:
 
 def time_period(hour: Column) -> Column:
     """Unmatched hours, 24 and NULL included, fall into the last bucket."""
-    ranges = schema.TIME_PERIODS
-    return F.coalesce(
-        *[F.when(hour.between(low, high), F.lit(name)) for name, low, high in ranges],
-        F.lit(schema.OTHER_PERIOD),
+    return first_match(
+        [(hour.between(low, high), name) for name, low, high in schema.TIME_PERIODS],
+        schema.OTHER_PERIOD,
     )
 
 
@@ -46,8 +50,8 @@ def total_delay(parts: dict[str, Column]) -> Column:
 def primary_cause(parts: dict[str, Column]) -> Column:
     """Label of the largest positive part; on a tie the earlier label."""
     top = F.greatest(*parts.values())
-    largest = F.coalesce(*[F.when(part == top, F.lit(label)) for label, part in parts.items()])
-    return F.when(top > 0, largest).otherwise(schema.NO_CAUSE)
+    none = (~(top > 0), schema.NO_CAUSE)
+    return first_match([none, *((part == top, label) for label, part in parts.items())])
 
 
 def route(origin: Column, dest: Column) -> Column:
@@ -57,9 +61,8 @@ def route(origin: Column, dest: Column) -> Column:
 
 def distance_bucket(miles: Column) -> Column:
     """NULL distance counts as the longest bucket."""
-    return F.coalesce(
-        *[F.when(miles < limit, F.lit(name)) for name, limit in schema.HAULS],
-        F.lit(schema.LONGEST_HAUL),
+    return first_match(
+        [(miles < limit, name) for name, limit in schema.HAULS], schema.LONGEST_HAUL
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skymart.functions import exact
+from skymart.functions.flights import first_match
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -40,8 +41,7 @@ def most_frequent(value: str, count: str) -> Column:
 def most_frequent_of(counts: dict[str, Column]) -> Column:
     """Mode over a closed set of labels, given the count of each; the lowest label wins a tie."""
     top = F.greatest(*counts.values())
-    winner = F.coalesce(*[F.when(counts[label] == top, F.lit(label)) for label in sorted(counts)])
-    return F.when(top > 0, winner)
+    return first_match([(~(top > 0), None), *((counts[v] == top, v) for v in sorted(counts))])
 
 
 def global_rank(df: DataFrame, by: str, rank: str) -> DataFrame:
@@ -62,8 +62,11 @@ def global_rank(df: DataFrame, by: str, rank: str) -> DataFrame:
     return settled.join(ranks, F.col(by).eqNullSafe(F.col("_value"))).drop("_value")
 
 
-def share_of_total(df: DataFrame, amount: str, share: str, scale: int) -> DataFrame:
-    """Percentage of each row's ``amount`` in the sum over all rows."""
-    settled = settle(df)
-    total = settled.agg(F.sum(amount)).scalar()
-    return settled.withColumn(share, exact.percent(F.col(amount), total, scale))
+def share_of_total(df: DataFrame, count: str, of: DataFrame, share: str, scale: int) -> DataFrame:
+    """Percentage of each row's ``count`` in the number of rows of ``of``.
+
+    The total is a scalar subquery over the rows that were counted; from stored parquet
+    it reads no column, and no window gathers ``df`` in one task.
+    """
+    total = of.agg(exact.row_count()).scalar()
+    return df.withColumn(share, exact.percent(F.col(count), total, scale))
