@@ -53,10 +53,10 @@ def session() -> SparkSession:
 
 
 def prepare(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Raw tables as a load leaves them: several files, not the one row group of the test data."""
+    """Raw tables as a load leaves them: one partition per source file."""
     warehouse = Warehouse(spark, tempfile.mkdtemp(prefix="skymart-bench-"))
-    flights = fixture.flight_raw(spark, sf_dir).repartition(int(CPUS))
-    warehouse.replace(flights, "staging", "flight_raw")
+    flights = fixture.flight_raw(spark, sf_dir).repartition(int(CPUS), "source_file")
+    warehouse.replace(flights, "staging", "flight_raw", "source_file")
     warehouse.replace(fixture.airport_raw(spark, sf_dir), "staging", "airport_raw")
     warehouse.replace(fixture.airline_raw(spark, sf_dir), "staging", "airline_raw")
     pipeline.load_seeds(warehouse)

@@ -36,7 +36,8 @@ def time_period(hour: Column) -> Column:
 
 
 def weekday_name(day: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, schema.WEEKDAYS)), F.dayofweek(day))
+    names = F.array(*map(F.lit, schema.WEEKDAYS))
+    return F.get(names, F.dayofweek(day) - 1)  # unlike element_at, NULL for a NULL day
 
 
 def is_weekend(day: Column) -> Column:

@@ -76,16 +76,27 @@ def staging_views(warehouse: Warehouse) -> dict[str, DataFrame]:
     return views
 
 
-def build_enriched(warehouse: Warehouse) -> DataFrame:
+def build_enriched(warehouse: Warehouse, source_files: list[str] | None = None) -> DataFrame:
+    """Enrich all stored flights, or only those of the given files.
+
+    The table keeps the partitions of flight_raw, one per source file, so a new month is
+    enriched by itself and the rows never move between tasks.
+    """
     views = staging_views(warehouse)
+    flights = views["stg_flights"]
+    if source_files is not None:
+        flights = flights.filter(F.col("source_file").isin(source_files))
     flights = enriched.int_flights_enriched(
-        views["stg_flights"],
+        flights,
         views["stg_airlines"],
         views["stg_airports"],
         warehouse.read("seeds", "cancellation_codes"),
         warehouse.read("seeds", "delay_categories"),
     )
-    return warehouse.replace(flights, "intermediate", "int_flights_enriched")
+    at = ("intermediate", "int_flights_enriched")
+    if source_files is None:
+        return warehouse.replace(flights, *at, "source_file")
+    return warehouse.replace_partitions(flights, *at, by="source_file")
 
 
 def build_mart(warehouse: Warehouse, name: str) -> DataFrame:

@@ -52,11 +52,14 @@ class Warehouse:
             return self.spark.createDataFrame([], table)
         return self.spark.read.schema(table).parquet(at)
 
-    def replace(self, df: DataFrame, layer: str, name: str) -> DataFrame:
-        """Write ``df`` as the whole table and read it back."""
-        writer = df.write.mode("overwrite").format("parquet")
+    def replace(self, df: DataFrame, layer: str, name: str, *by: str) -> DataFrame:
+        """Write ``df`` as the whole table, partitioned ``by`` columns, and read it back."""
+        writer = df.write.mode("overwrite").format("parquet").partitionBy(*by)
         at = self.location(layer, name)
-        writer.save(at) if self.root else writer.saveAsTable(at)
+        if self.root:
+            writer.option("partitionOverwriteMode", "static").save(at)
+        else:  # an option would become one of the table and outlive this write
+            writer.saveAsTable(at)
         return self.read(layer, name)
 
     def replace_partitions(self, df: DataFrame, layer: str, name: str, by: str) -> DataFrame:

@@ -182,6 +182,18 @@ def test_pipeline_from_files_to_checks(spark, files, tmp_path, catalog):
     assert found["unique", "stg_flights", "flight_id"] == 0
     assert found["not_null", "stg_flights", "fl_date"] == 1
     assert found["accepted_range", "stg_flights", "dep_hour"] == 1
+    # enriching one file again changes nothing else
+    before = warehouse.read("intermediate", "int_flights_enriched")
+    rows = sorted(before.collect(), key=str)
+    pipeline.build_enriched(warehouse, ["jan.csv"])
+    after = warehouse.read("intermediate", "int_flights_enriched")
+    again = sorted(after.select(before.columns).collect(), key=str)
+    changed = {
+        name: (x[name], y[name]) for x, y in zip(rows, again) for name in x.asDict() if x[name] != y[name]
+    }
+    assert len(again) == len(rows) and not changed
+    one = after.filter("source_file = 'feb.csv'")._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [isnotnull(source_file" in one.toString()
     report = pipeline.validate_and_report(warehouse).first()
     assert (report.total_rows, report.total_cancelled) == (4, 1)
     assert reports.sample_rows(flights).count() == 4

@@ -179,6 +179,22 @@ def test_flags_use_raw_minutes_and_measures_do_not(raw):
     assert _column(flights, "is_delayed_departure") == [False, False]
 
 
+def test_derived_columns_of_missing_values(raw):
+    """From stored rows, where nothing is folded to a constant."""
+    gone = dict.fromkeys(
+        ["fl_date", "crs_dep_time", "crs_arr_time", "origin", "cancelled", "diverted",
+         "dep_delay_minutes", "arr_delay_minutes", "distance"]
+    )
+    rows = staging.stg_flights(raw({}, gone)).orderBy("flight_id").collect()
+    assert (rows[0].day_of_week_name, rows[0].is_weekend, rows[0].dep_hour) == ("Saturday", True, 9)
+    row = rows[1]
+    nulls = ["day_of_week_name", "is_weekend", "dep_hour", "arr_hour", "is_cancelled",
+             "is_diverted", "is_delayed_departure", "is_delayed_arrival", "route"]
+    assert [row[name] for name in nulls] == [None] * len(nulls)
+    assert (row.dep_time_period, row.primary_delay_cause) == ("Night", "None")
+    assert (row.total_delay_minutes, row.arr_delay_minutes) == (0.0, 0.0)
+
+
 def test_staging_adds_twelve_columns(raw):
     assert len(staging.stg_flights(raw({})).columns) == 39 + 12
 
@@ -334,6 +350,7 @@ def test_delay_mart(raw, enrich):
     assert (top.worst_route, top.worst_carrier) == ("ORD-SFO", "American")
     assert top.avg_carrier_delay is None and top.pct_of_total == Decimal("75.0000")
     assert rows[1].flight_month is None and rows[1].delay_label == "On Time"
+    assert rows[1].day_of_week_name is None
 
 
 def test_route_mart_keeps_ten_flights_and_more(raw, enrich):
