@@ -145,8 +145,12 @@ DELAYED_AFTER_MINUTES = 15
 
 
 CANCELLATION_CODE_TABLE = T.StructType().add("code", "string").add("reason", "string")
-DELAY_CATEGORY_TABLE = (
-    T.StructType().add("label", "string").add("min_minutes", "integer").add("max_minutes", "integer")
+DELAY_CATEGORY_TABLE = T.StructType(
+    [
+        T.StructField("label", T.StringType()),
+        T.StructField("min_minutes", T.IntegerType()),
+        T.StructField("max_minutes", T.IntegerType()),
+    ]
 )
 
 

@@ -32,17 +32,20 @@ def _rows(path: str, content: bytes) -> Iterator[pd.DataFrame]:
         with io.TextIOWrapper(archive.open(name), encoding="utf-8", newline="") as lines:
             header = flight_files.split_header(lines.readline().rstrip("\r\n"))
             positions = flight_files.known_positions(header)
-            batches = pd.read_csv(
-                lines,
-                header=None,
-                names=range(len(header)),
-                usecols=sorted(positions.values()),
-                dtype=str,
-                keep_default_na=False,
-                na_values=[""],
-                index_col=False,
-                chunksize=BATCH_ROWS,
-            )
+            try:
+                batches = pd.read_csv(
+                    lines,
+                    header=None,
+                    names=range(len(header)),
+                    usecols=sorted(positions.values()),
+                    dtype=str,
+                    keep_default_na=False,
+                    na_values=[""],
+                    index_col=False,
+                    chunksize=BATCH_ROWS,
+                )
+            except pd.errors.EmptyDataError:  # a header and nothing else
+                return
             for batch in batches:
                 columns = {c: batch[at] for c, at in positions.items()}
                 frame = pd.DataFrame(columns, columns=flight_files.NAMES, index=batch.index)

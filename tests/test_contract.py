@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import compare
 import pytest
 
@@ -51,6 +53,26 @@ def test_marts_aggregate_before_the_shuffle(spark, facts):
     assert "Window" not in plan and "CartesianProduct" not in plan
 
 
+def test_generated_code_can_be_compiled(spark, tmp_path, capsys):
+    """The JVM leaves methods of more than 8,000 bytes uncompiled."""
+    Inputs(spark, SF_DIR).raw.write.parquet(str(tmp_path / "raw"))
+    inputs = Inputs(spark, SF_DIR)
+    inputs.raw = spark.read.parquet(str(tmp_path / "raw"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (
+            inputs.enriched,
+            marts.carrier_month_facts(inputs.enriched),
+            marts.delay_facts(inputs.enriched),
+            marts.route_facts(inputs.enriched),
+        ):
+            df.explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_mart_scan_is_pruned(spark, tmp_path):
     Inputs(spark, SF_DIR).enriched.write.parquet(str(tmp_path / "enriched"))
     plan = _plan(marts.route_facts(spark.read.parquet(str(tmp_path / "enriched"))))
