@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymart.llm import bpe, exact_dedup, language_id, nearest, token_counts
+from skymart.llm import bpe, exact_dedup, language_id, nearest, shingle_join, token_counts
 from skymart.llm.arrow import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -46,6 +50,7 @@ def queries() -> dict[str, Query]:
         f.__name__: f
         for f in (
             op2_exact_dedup,
+            op4_shingle_join,
             op6_bpe,
             op7_language_id,
             op8_token_counts,
