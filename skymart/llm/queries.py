@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skymart.llm import bpe, exact_dedup, language_id, nearest, shingle_join, token_counts
+from skymart.llm import (
+    bpe,
+    exact_dedup,
+    kneser_ney,
+    language_id,
+    nearest,
+    shingle_join,
+    token_counts,
+)
 from skymart.llm.arrow import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +29,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.remainder(F.col("doc_id"), 10) == 0
+    scored = kneser_ney.score(docs, kneser_ney.train(docs, ~held_out))
+    figures = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", held_out.alias("held_out"), *figures)
+
+
 def op4_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -50,6 +66,7 @@ def queries() -> dict[str, Query]:
         f.__name__: f
         for f in (
             op2_exact_dedup,
+            op3_kneser_ney,
             op4_shingle_join,
             op6_bpe,
             op7_language_id,
