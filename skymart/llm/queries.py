@@ -14,6 +14,7 @@ from skymart.llm import (
     kneser_ney,
     language_id,
     nearest,
+    personal_data,
     shingle_join,
     token_counts,
 )
@@ -57,6 +58,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECES)
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return personal_data.digests(personal_data.find(docs, personal_data.fit(docs)))
+
+
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -71,6 +77,7 @@ def queries() -> dict[str, Query]:
             op6_bpe,
             op7_language_id,
             op8_token_counts,
+            op9_personal_data,
             op10_nearest,
         )
     }
