@@ -13,6 +13,7 @@ from skymart.llm import (
     exact_dedup,
     kneser_ney,
     language_id,
+    mixing,
     nearest,
     personal_data,
     shingle_join,
@@ -26,6 +27,10 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.schedule(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ def queries() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
+            op1_mixing,
             op2_exact_dedup,
             op3_kneser_ney,
             op4_shingle_join,
