@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -14,6 +15,7 @@ from skymart.cluster import ship
 #: Rows gathered before a batch is handed back to Spark, and bytes of text or arrays in them.
 BATCH_ROWS = 4096
 BATCH_BYTES = 8 << 20
+_LONG = (bytes, str, np.ndarray)
 
 
 def texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int | None, str]]:
@@ -30,7 +32,7 @@ def packed(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]
     size = 0
     for row in rows:
         waiting.append(row)
-        size += sum(len(x) for x in row if isinstance(x, (bytes, str)))
+        size += sum(x.nbytes if isinstance(x, np.ndarray) else len(x) for x in row if isinstance(x, _LONG))
         if len(waiting) >= BATCH_ROWS or size >= BATCH_BYTES:
             yield _batch(waiting, schema)
             waiting, size = [], 0
@@ -57,9 +59,13 @@ def map_rows(
     return df.mapInArrow(lambda batches: packed(rows(batches), schema), ddl)
 
 
-def doc_texts(docs: DataFrame) -> DataFrame:
+def doc_columns() -> tuple[Column, Column]:
     """The two columns that the operators read; other columns never reach them."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
+    return F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+
+
+def doc_texts(docs: DataFrame) -> DataFrame:
+    return docs.select(*doc_columns())
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:

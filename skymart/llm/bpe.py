@@ -14,15 +14,16 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skymart.llm.arrow import doc_texts, map_rows, texts
+from skymart.llm.arrow import doc_columns, doc_texts, map_rows, texts
 
 LONG_WORD = 512
 #: Distinct words remembered by a worker; beyond that it forgets all and goes on.
@@ -128,18 +129,15 @@ class WordBpe:
                 ids += self._word(word)
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        for chunk in text.encode().split():
-            ids += self.encode_chunk(chunk.decode())
-        return ids
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.spelled(text)[1].split(), np.int32)
 
     def decode(self, ids: Iterable[int]) -> str:
         """Tokens joined by spaces: the vocabulary names no decoder."""
         return " ".join(self.token_of[i] for i in ids)
 
-    def digests(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, digest of the ids, digest of the decoded text."""
+    def spelled(self, text: str) -> tuple[int, bytes, bytes]:
+        """Number of ids, the ids in decimal, and the decoded text, both joined by spaces."""
         known, count = self.by_chunk, 0
         ids, decoded = [], []
         for chunk in text.encode("utf-8", "replace").split():
@@ -149,11 +147,7 @@ class WordBpe:
                 count += entry[0]
                 ids.append(entry[1])
                 decoded.append(entry[2])
-        return (
-            count,
-            hashlib.sha256(b" ".join(ids)).hexdigest(),
-            hashlib.sha256(b" ".join(decoded)).hexdigest(),
-        )
+        return count, b" ".join(ids), b" ".join(decoded)
 
     def _chunk_entry(self, chunk: bytes) -> tuple[int, bytes, bytes]:
         if len(self.by_chunk) >= REMEMBERED:
@@ -176,20 +170,30 @@ def _vocabulary(path: str) -> str:
         return file.read()
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids array<int>, n_tokens of every whole text; a null or empty text has no ids.
+def encode(docs: DataFrame, path: str, carried: Sequence[str] = ()) -> DataFrame:
+    """doc_id, the carried columns, n_tokens, ids array<int>, and two digests of every whole text.
 
+    ids_sha256 is the digest of the decimal ids joined by one space, decoded_sha256 that of the
+    text decoded from them. A null or empty text has no ids, and the digests of an empty string.
     Nulls, ties, repeated rows and other columns make no difference to a row; no rows give none.
     """
     vocabulary = docs.sparkSession.sparkContext.broadcast(_vocabulary(path))
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         bpe = _loaded(vocabulary.value)
-        for doc_id, text in texts(batches):
-            ids = bpe.encode(text)
-            yield doc_id, ids, len(ids)
+        for batch in batches:
+            others = [batch.column(f"carried_{k}").to_pylist() for k in range(len(carried))]
+            for at, (doc_id, text) in enumerate(texts([batch])):
+                count, ids, decoded = bpe.spelled(text)
+                digests = hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
+                numbers = np.array(ids.split(), np.int32)
+                yield doc_id, *(o[at] for o in others), count, numbers, *digests
 
-    return map_rows(doc_texts(docs), rows, "doc_id long, ids array<int>, n_tokens long")
+    own = [F.col(c).alias(f"carried_{k}") for k, c in enumerate(carried)]
+    wanted = docs.select(*doc_columns(), *own)
+    kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
+    ddl = f"doc_id long{kinds}, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string"
+    return map_rows(wanted, rows, ddl)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -208,17 +212,14 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, and the digests of the ids and of the text decoded from them.
-
-    The same as encode() and decode() followed by sha2(), without the texts in between. Nulls are
-    empty texts, whose digests are those of an empty string.
-    """
+    """encode() without the ids: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     vocabulary = docs.sparkSession.sparkContext.broadcast(_vocabulary(path))
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         bpe = _loaded(vocabulary.value)
         for doc_id, text in texts(batches):
-            yield doc_id, *bpe.digests(text)
+            count, ids, decoded = bpe.spelled(text)
+            yield doc_id, count, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return map_rows(doc_texts(docs), rows, ddl)

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from skymart.cluster import ship
 from skymart.llm.arrow import doc_texts, map_rows
 
 FEATURES = 4096
@@ -174,6 +175,27 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return map_rows(doc_texts(docs), rows, ddl)
 
 
+def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of docs, with all their columns, whose text is not rejected."""
+    if model is None:
+        return docs.limit(0)
+    ship(docs.sparkSession)
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            plain = pa.RecordBatch.from_arrays(
+                [pa.array(range(batch.num_rows)), batch.column("text")], names=["doc_id", "text"]
+            )
+            for a in range(0, batch.num_rows, 128):
+                own = list(vectors(plain.slice(a, 128)))
+                nearest, cosines = model.predict(np.vstack([counts for *_, counts in own]))
+                near = cosines >= model.floors[nearest]
+                kept = near & np.array([lettered for _, lettered, _ in own])
+                yield batch.slice(a, len(own)).filter(pa.array(kept))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """The fold of a document: crc32 of its doc_id as text."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus

@@ -158,10 +158,10 @@ def _slots(periods: DataFrame) -> DataFrame:
 
 
 def schedule(docs: DataFrame, shares: Mapping[str, int] | None = None) -> DataFrame:
-    """doc_id, source, block, release, deadline, slot, place of every row of docs.
+    """doc_id, source, content, block, release, deadline, slot, place of every row of docs.
 
     Every row is kept once. slot is its block's place among all blocks, in [release, deadline),
-    and place its own in the block. Rows of a source are taken in the order of their hashed
+    and place its own in the block; content is a hash of the text. Rows of a source are taken in the order of their hashed
     doc_id. shares gives whole numbers of blocks a period for sources; others have 1. Without it
     a source's share is its part of PERIOD by its size to the power of EXPONENT, at least 1.
 
@@ -185,6 +185,7 @@ def schedule(docs: DataFrame, shares: Mapping[str, int] | None = None) -> DataFr
     known = known.select(
         "doc_id",
         "source",
+        "content",
         "number",
         "block",
         period.alias("period"),
@@ -201,9 +202,28 @@ def schedule(docs: DataFrame, shares: Mapping[str, int] | None = None) -> DataFr
     return known.join(filled, same).select(
         "doc_id",
         "source",
+        "content",
         "block",
         (start + _down(F.col("turn") * size, blocks)).alias("release"),
         (start + _up((F.col("turn") + 1) * size, blocks)).alias("deadline"),
         (start + F.col("slot")).alias("slot"),
         (F.col("number") - F.col("block") * BLOCK_ROWS).alias("place"),
     )
+
+
+def mixed(docs: DataFrame, shares: Mapping[str, int] | None = None) -> DataFrame:
+    """docs in mixed order, with all their columns and mix_slot, the slot of the row's block.
+
+    Rows equal in doc_id, source and text get the slot of the first of them.
+    """
+    slots = schedule(docs, shares).groupBy(
+        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("content").alias("__hash")
+    ).agg(F.min(F.struct("slot", "place")).alias("__at"))
+    same = (
+        docs["doc_id"].cast("long").eqNullSafe(F.col("__id"))
+        & docs["source"].cast("string").eqNullSafe(F.col("__source"))
+        & (F.xxhash64(docs["text"]) == F.col("__hash"))
+    )
+    others = [docs[c] for c in docs.columns if c != "mix_slot"]
+    placed = docs.join(slots, same).orderBy("__at")
+    return placed.select(*others, F.col("__at.slot").alias("mix_slot"))

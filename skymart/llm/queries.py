@@ -13,6 +13,7 @@ from skymart.llm import (
     exact_dedup,
     kneser_ney,
     language_id,
+    line_dedup,
     mixing,
     nearest,
     personal_data,
@@ -47,6 +48,10 @@ def op4_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -80,6 +85,7 @@ def queries() -> dict[str, Query]:
             op2_exact_dedup,
             op3_kneser_ney,
             op4_shingle_join,
+            op5_line_dedup,
             op6_bpe,
             op7_language_id,
             op8_token_counts,

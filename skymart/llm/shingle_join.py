@@ -454,3 +454,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
     )
     return known.join(smallest, "component").select("doc_id", "n_shingles", "component_id").union(alone)
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """docs, with all their columns, without the documents that are not their component's first.
+
+    Rows without a doc_id, and documents without a word, stay; repeated rows of a doc_id that stays
+    all stay.
+    """
+    found = near_duplicates(docs)
+    gone = settle(
+        found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    )
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col("gone"), "left_anti")
