@@ -28,8 +28,8 @@ BLOCK_BYTES = 4096
 NAME_BUCKETS = 4096
 
 
-def _blocks(data: bytes) -> list[bytes]:
-    return [data[i : i + BLOCK_BYTES] for i in range(0, max(1, len(data)), BLOCK_BYTES)]
+def _blocks(data: bytes, size: int) -> list[bytes]:
+    return [data[i : i + size] for i in range(0, max(1, len(data)), size)]
 
 
 def normalised(text: str) -> bytes:
@@ -37,20 +37,20 @@ def normalised(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass").lower()
 
 
-def _digest_rows(seed: int):
+def _digest_rows(seed: int, size: int):
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for doc_id, text in texts(batches):
             data = normalised(text)
-            digests = [xxhash.xxh3_128_digest(b, seed) for b in _blocks(data)]
+            digests = [xxhash.xxh3_128_digest(b, seed) for b in _blocks(data, size)]
             yield doc_id, hashlib.sha256(data).hexdigest(), digests
 
     return rows
 
 
-def _block_rows(seed: int):
+def _block_rows(seed: int, size: int):
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for _, text in texts(batches):
-            for block in _blocks(normalised(text)):
+            for block in _blocks(normalised(text), size):
                 yield xxhash.xxh3_128_digest(block, seed), block
 
     return rows
@@ -63,23 +63,23 @@ def _name(*keys: str) -> Column:
     return F.shiftleft(bucket, 40) + rank
 
 
-def _named_blocks(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _named_blocks(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     """Documents with their blocks' digests, and the integer name of each digest."""
     seed = 0
     while True:
-        blocks = map_rows(docs, _block_rows(seed), "digest binary, block binary")
+        blocks = map_rows(docs, _block_rows(seed, size), "digest binary, block binary")
         contents = blocks.groupBy("digest").agg(F.size(F.collect_set("block")).alias("contents"))
         names = settle(contents.select("digest", "contents", _name("digest").alias("name")))
         if names.filter("contents > 1").isEmpty():
             ddl = "doc_id long, text_sha256 string, digests array<binary>"
-            listed = map_rows(docs, _digest_rows(seed), ddl)
+            listed = map_rows(docs, _digest_rows(seed, size), ddl)
             return listed.withColumn("row", F.monotonically_increasing_id()), names
         seed += 1
 
 
-def identities(docs: DataFrame) -> DataFrame:
+def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """row, doc_id, text_sha256, and level and name, which identify the text without collision."""
-    listed, names = _named_blocks(doc_texts(docs))
+    listed, names = _named_blocks(doc_texts(docs), block_bytes)
     listed = settle(listed)
     parts = listed.select(
         "row", F.size("digests").alias("parts"), F.posexplode("digests").alias("place", "digest")
@@ -115,7 +115,7 @@ def identities(docs: DataFrame) -> DataFrame:
     return listed.drop("digests").join(final, "row")
 
 
-def exact_duplicates(docs: DataFrame) -> DataFrame:
+def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document, with the document of its text that stays.
 
     Texts are equal when they are equal after lower-casing A-Z; a null text is empty, and empty
@@ -125,7 +125,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
     Returns doc_id, keep_id, group_size, kept, text_sha256.
     """
-    rows = settle(identities(docs))
+    rows = settle(identities(docs, block_bytes))
     groups = rows.groupBy("level", "name").agg(
         F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size")
     )
