@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _NUMERATOR = "decimal(24,6)"
-_COUNT = "decimal(13,0)"
+_COUNT = "decimal(20,0)"
 _RESULT = "decimal(18,{})"
 
 

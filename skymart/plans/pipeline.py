@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from skymart import schema
 from skymart.operators import checks
 from skymart.plans import enriched, marts, reports, staging
-from skymart.sources import flight_files, lookup_files
-from skymart.sources.warehouse import Warehouse, numbered
+from skymart.sources import archives, flight_files, lookup_files
+from skymart.sources.warehouse import FILE_KEY, Warehouse, numbered
 
 MARTS = {
     "mart_carrier_performance": marts.mart_carrier_performance,
@@ -26,21 +26,31 @@ SEEDS = {
 def store_flights(warehouse: Warehouse, flights: DataFrame) -> DataFrame:
     """Add typed flights to flight_raw; returns the rows stored per source file.
 
-    A file that was loaded before is replaced, so that a repeated load changes nothing.
+    A file that was loaded before, from the same path, is replaced, so that a repeated load changes
+    nothing; files of one name in different folders are kept apart by their file_key. Flights
+    without that column are told apart by their source_file. Only one load may run at a time.
     """
+    if FILE_KEY not in flights.columns:
+        flights = flights.withColumn(FILE_KEY, flight_files.file_key(F.col("source_file")))
     last = 0
     if warehouse.exists("staging", "flight_raw"):
         known = warehouse.read("staging", "flight_raw").agg(F.max("flight_id").alias("last"))
         last = known.first().last or 0
     table = warehouse.replace_partitions(
-        numbered(flights, "flight_id", last), "staging", "flight_raw", by="source_file"
+        numbered(flights, "flight_id", last), "staging", "flight_raw", by=FILE_KEY
     )
     new = table.filter(F.col("flight_id") > last)
     return new.groupBy("source_file").agg(F.count(F.lit(1)).alias("total_rows"))
 
 
 def load_flights(warehouse: Warehouse, paths: list[str]) -> DataFrame:
-    return store_flights(warehouse, flight_files.read_flights(warehouse.spark, paths))
+    text = flight_files.read_text_columns(warehouse.spark, paths)
+    return store_flights(warehouse, flight_files.keyed(text))
+
+
+def load_zipped_flights(warehouse: Warehouse, paths: list[str]) -> DataFrame:
+    text = archives.read_zipped_text_columns(warehouse.spark, paths)
+    return store_flights(warehouse, flight_files.keyed(text))
 
 
 def _store_lookup(warehouse: Warehouse, rows: DataFrame, name: str, key: str) -> DataFrame:
@@ -79,8 +89,8 @@ def staging_views(warehouse: Warehouse) -> dict[str, DataFrame]:
 def build_enriched(warehouse: Warehouse, source_files: list[str] | None = None) -> DataFrame:
     """Enrich all stored flights, or only those of the given files.
 
-    The table keeps the partitions of flight_raw, one per source file, so a new month is
-    enriched by itself and the rows never move between tasks.
+    The table has one partition per source file name, so a new month is enriched by itself and the
+    rows never move between tasks.
     """
     views = staging_views(warehouse)
     flights = views["stg_flights"]

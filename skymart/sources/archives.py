@@ -1,6 +1,7 @@
 """Zipped flight files: one task per archive streams its CSV member in batches.
 
-A zip stream cannot be split, so the work spreads over archives. The member is parsed
+A zip stream cannot be split, so the work spreads over archives, each of which Spark reads as one
+value: up to 2 GiB compressed; unpack larger ones first. The member is parsed
 to text columns in pandas and typed by the same Spark expressions as plain files.
 """
 
@@ -12,11 +13,13 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from skymart.cluster import ship
 from skymart.sources import flight_files
 
 BATCH_ROWS = 50_000
-_SCHEMA = ", ".join(f"{name} string" for name in (*flight_files.NAMES, "source_file"))
+_SCHEMA = ", ".join(f"{name} string" for name in (*flight_files.NAMES, "source_file", "path"))
 
 
 def _member(archive: zipfile.ZipFile, path: str) -> str:
@@ -30,8 +33,13 @@ def _rows(path: str, content: bytes) -> Iterator[pd.DataFrame]:
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         name = _member(archive, path)
         with io.TextIOWrapper(archive.open(name), encoding="utf-8", newline="") as lines:
-            header = flight_files.split_header(lines.readline().rstrip("\r\n"))
+            line = next((x for x in lines if x.strip("\ufeff \t\r\n")), None)
+            if line is None:
+                return
+            header = flight_files.split_header(line.rstrip("\r\n"))
             positions = flight_files.known_positions(header)
+            if not positions:
+                raise ValueError(f"no known column in the header of {path}")
             try:
                 batches = pd.read_csv(
                     lines,
@@ -50,6 +58,7 @@ def _rows(path: str, content: bytes) -> Iterator[pd.DataFrame]:
                 columns = {c: batch[at] for c, at in positions.items()}
                 frame = pd.DataFrame(columns, columns=flight_files.NAMES, index=batch.index)
                 frame["source_file"] = name.rsplit("/", 1)[-1]
+                frame["path"] = f"{path}!{name}"
                 yield frame.astype(object).where(frame.notna(), None)
 
 
@@ -59,8 +68,10 @@ def read_zipped_text_columns(spark: SparkSession, paths: list[str]) -> DataFrame
             for path, content in zip(files["path"], files["content"]):
                 yield from _rows(path, content)
 
+    ship(spark)
     archives = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return archives.mapInPandas(stream, _SCHEMA)
+    rows = archives.mapInPandas(stream, _SCHEMA)
+    return rows.withColumn(flight_files.KEY, flight_files.file_key(F.col("path"))).drop("path")
 
 
 def read_zipped_csv(spark: SparkSession, paths: list[str]) -> DataFrame:

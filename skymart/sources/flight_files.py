@@ -1,7 +1,8 @@
 """Monthly flight CSV files as typed rows.
 
-Headers differ between files, so only the header line of each file is looked at on the
-driver; files with the same header form one scan and the scans are stacked by name.
+Headers differ between files, so the header line of each file is looked at while the files are
+listed, without a Spark job; files whose known columns stand at the same places form one scan, and
+the scans are stacked by name.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from skymart import schema
 NAMES = tuple(field.name for field in schema.FLIGHT_FIELDS)
 _BY_HEADER = {field.header: field.name for field in schema.FLIGHT_FIELDS}
 _PARALLEL_HEADERS = 16
+KEY = "file_key"
 
 
 def split_header(line: str) -> list[str]:
@@ -46,24 +48,55 @@ def list_files(spark: SparkSession, paths: list[str]) -> list[str]:
     return sorted(row.path for row in listed.collect())
 
 
-def _headers(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
-    def header(file: str) -> tuple[str, ...]:
-        first = spark.read.text(file).first()
-        return tuple(split_header(first.value)) if first else ()
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file that is not blank, read through Spark's file systems."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        text = codec.createInputStream(stream) if codec is not None else stream
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8"))
+        while (line := lines.readLine()) is not None:
+            if line.strip("\ufeff \t\r"):
+                return line
+        return None
+    finally:
+        stream.close()
 
-    groups: dict[tuple[str, ...], list[str]] = {}
+
+Layout = tuple[int, tuple[tuple[str, int], ...]]
+
+
+def _layouts(spark: SparkSession, files: list[str]) -> dict[Layout, list[str]]:
+    """Files by their number of columns and the places of the known ones.
+
+    A file without any line has no rows; one without a known column is an error.
+    """
+    groups: dict[Layout, list[str]] = {}
     with ThreadPoolExecutor(_PARALLEL_HEADERS) as pool:
-        for file, titles in zip(files, pool.map(header, files)):
-            if titles:
-                groups.setdefault(titles, []).append(file)
+        for file, line in zip(files, pool.map(lambda f: _first_line(spark, f), files)):
+            if line is None:
+                continue
+            header = split_header(line)
+            positions = known_positions(header)
+            if not positions:
+                raise ValueError(f"no known column in the header of {file}")
+            layout = len(header), tuple(sorted(positions.items()))
+            groups.setdefault(layout, []).append(file)
     return groups
 
 
-def _scan(spark: SparkSession, header: tuple[str, ...], files: list[str]) -> DataFrame:
-    positions = known_positions(header)
-    all_text = ", ".join(f"p{i} string" for i in range(len(header)))
-    rows = spark.read.schema(all_text).csv(files, header=True)
-    return rows.select(
+def file_key(path: Column) -> Column:
+    """A name for one load, made of the whole path: files of one name in two folders differ."""
+    return F.concat(F.lit("f"), F.lower(F.hex(F.xxhash64(path))))
+
+
+def _scan(spark: SparkSession, layout: Layout, files: list[str], multi_line: bool) -> DataFrame:
+    width, positions = layout[0], dict(layout[1])
+    all_text = ", ".join(f"p{i} string" for i in range(width))
+    reader = spark.read.schema(all_text).options(header=True, escape='"', multiLine=multi_line)
+    return reader.csv(files).select(
         *[
             F.col(f"p{positions[name]}").alias(name)
             if name in positions
@@ -71,36 +104,50 @@ def _scan(spark: SparkSession, header: tuple[str, ...], files: list[str]) -> Dat
             for name in NAMES
         ],
         F.col("_metadata.file_name").alias("source_file"),
+        file_key(F.col("_metadata.file_path")).alias(KEY),
     )
 
 
-def read_text_columns(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The known columns as text, NULL where a file lacks the column, plus source_file."""
-    groups = _headers(spark, list_files(spark, paths))
+def read_text_columns(
+    spark: SparkSession, paths: list[str], multi_line: bool = False
+) -> DataFrame:
+    """The known columns as text, NULL where a file lacks the column, source_file and file_key.
+
+    ``multi_line`` allows line breaks inside quotes; such files can't be split between tasks.
+    """
+    groups = _layouts(spark, list_files(spark, paths))
     if not groups:
         raise ValueError(f"no flight files in {paths}")
-    return reduce(DataFrame.unionByName, [_scan(spark, h, f) for h, f in groups.items()])
+    scans = [_scan(spark, layout, files, multi_line) for layout, files in groups.items()]
+    return reduce(DataFrame.unionByName, scans)
 
 
 def parsed(text: Column, type_: str) -> Column:
-    """Text as ``type_``; whole numbers may be written with a fraction part of zero."""
+    """Text as ``type_``; whole numbers may be written with a fraction part of zero.
+
+    NaN and infinity are not numbers, nor is a fraction a whole number: both are NULL.
+    """
     if type_ == "string":
         return text
+    if type_ not in ("int", "double"):
+        return text.try_cast(type_)
+    number = text.try_cast("double")
     if type_ == "int":
-        return text.try_cast("double").try_cast("int")
-    return text.try_cast(type_)
+        return F.when(number == F.floor(number), number.try_cast("int"))
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def utc_now() -> Column:
     return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
 
 
-def typed(text_columns: DataFrame) -> DataFrame:
+def typed(text_columns: DataFrame, *more: str) -> DataFrame:
     """Typed flights with load metadata; text that does not parse becomes NULL."""
     return text_columns.select(
         *[parsed(F.col(f.name), f.type).alias(f.name) for f in schema.FLIGHT_FIELDS],
         utc_now().alias("ingested_at"),
         "source_file",
+        *more,
     )
 
 
@@ -108,6 +155,26 @@ def read_flights(spark: SparkSession, paths: list[str]) -> DataFrame:
     return typed(read_text_columns(spark, paths))
 
 
+def keyed(text_columns: DataFrame) -> DataFrame:
+    """Typed flights with file_key, which tells loads apart."""
+    return typed(text_columns, KEY)
+
+
+def columns_of_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Per file and column of the contract or the file: whether each of the two has it."""
+    rows = []
+    for file in list_files(spark, paths):
+        header = split_header(_first_line(spark, file) or "")
+        positions = known_positions(header)
+        name = file.rsplit("/", 1)[-1]
+        rows += [(name, known, True, known in positions) for known in NAMES]
+        own = [t for at, t in enumerate(header) if t and at not in positions.values()]
+        rows += [(name, title, False, True) for title in own]
+    return spark.createDataFrame(
+        rows, "source_file string, column_name string, expected boolean, present boolean"
+    )
+
+
 def profile(text_columns: DataFrame) -> DataFrame:
     """Per file and column: rows, and how many are missing, unparsable or too long.
 

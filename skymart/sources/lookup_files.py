@@ -20,10 +20,15 @@ def read_positional(spark: SparkSession, paths: list[str], columns: tuple[str, .
     line = F.col("value")
     fields = F.size(F.split(F.regexp_replace(line, _QUOTED, ""), ","))
     layout = ", ".join(f"{name} string" for name in columns)
+    # A quote inside quotes is written as \" or as a doubled quote.
+    doubled = F.contains(line, F.lit('""')) & ~F.contains(line, F.lit('\\"'))
+    row = F.when(doubled, F.from_csv(line, layout, {"escape": '"'})).otherwise(
+        F.from_csv(line, layout)
+    )
     return (
         spark.read.text(paths)
         .filter((F.trim(line) != "") & (fields <= len(columns)))
-        .select(F.from_csv(line, layout).alias("row"))
+        .select(row.alias("row"))
         .select("row.*")
     )
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from skymart import schema
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_PARTITION_TYPES = "spark.sql.sources.partitionColumnTypeInference.enabled"
+FILE_KEY = "file_key"
 RAW_TABLES = {
     "flight_raw": schema.FLIGHT_RAW,
     "airport_raw": schema.AIRPORT_RAW,
@@ -43,14 +45,13 @@ class Warehouse:
     def read(self, layer: str, name: str) -> DataFrame:
         """The table; a raw table that was never loaded is empty."""
         at = self.location(layer, name)
-        if self.root is None:
-            return self.spark.table(at)
         table = RAW_TABLES.get(name) if layer == "staging" else None
-        if table is None:
-            return self.spark.read.parquet(at)
-        if not self.exists(layer, name):
+        if table is not None and self.root and not self.exists(layer, name):
             return self.spark.createDataFrame([], table)
-        return self.spark.read.schema(table).parquet(at)
+        # Folder names such as 007 or 20240101 are texts, whatever they look like.
+        with self._setting(_PARTITION_TYPES, "false"):
+            df = self.spark.table(at) if self.root is None else self.spark.read.parquet(at)
+        return df if table is None else df.select(*table.fieldNames())
 
     def replace(self, df: DataFrame, layer: str, name: str, *by: str) -> DataFrame:
         """Write ``df`` as the whole table, partitioned ``by`` columns, and read it back."""
@@ -69,36 +70,38 @@ class Warehouse:
             writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(by).parquet(at)
         elif self.exists(layer, name):
-            columns = [c for c in self.read(layer, name).columns if c != by]
-            with self._dynamic_overwrite():
+            columns = [c for c in self.spark.table(at).columns if c != by]
+            with self._setting(_OVERWRITE_MODE, "dynamic"):
                 df.select(*columns, by).write.insertInto(at, overwrite=True)
         else:
             df.write.partitionBy(by).format("parquet").saveAsTable(at)
         return self.read(layer, name)
 
     @contextmanager
-    def _dynamic_overwrite(self):
-        """Inserts into catalog tables take the overwrite mode from the session only."""
-        before = self.spark.conf.get(_OVERWRITE_MODE)
-        self.spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    def _setting(self, key: str, value: str):
+        """A session setting for the time of a statement that takes it from nowhere else."""
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, value)
         try:
             yield
         finally:
-            self.spark.conf.set(_OVERWRITE_MODE, before)
+            self.spark.conf.set(key, before)
 
     def create(self) -> None:
-        """Create the databases and the empty raw tables where the catalog lacks them."""
-        if self.root is not None:
-            return
-        for layer in schema.LAYERS:
+        """Create the databases of a catalog, and the empty raw tables that do not exist yet."""
+        for layer in schema.LAYERS if self.root is None else ():
             self.spark.sql(f"create database if not exists {layer}")
         for name, table in RAW_TABLES.items():
-            if not self.exists("staging", name):
-                partitions = [c for c in table.fieldNames() if c == "source_file"]
-                empty = self.spark.createDataFrame([], table)
-                empty.write.format("parquet").partitionBy(*partitions).saveAsTable(
-                    self.location("staging", name)
-                )
+            if self.exists("staging", name):
+                continue
+            at, empty = self.location("staging", name), self.spark.createDataFrame([], table)
+            if self.root:
+                empty.write.parquet(at)
+            elif name == "flight_raw":
+                empty = empty.withColumn(FILE_KEY, F.lit(""))
+                empty.write.format("parquet").partitionBy(FILE_KEY).saveAsTable(at)
+            else:
+                empty.write.format("parquet").saveAsTable(at)
 
 
 def numbered(df: DataFrame, key: str, after: int = 0) -> DataFrame:

@@ -200,3 +200,98 @@ def test_pipeline_from_files_to_checks(spark, files, tmp_path, catalog):
     report = pipeline.validate_and_report(warehouse).first()
     assert (report.total_rows, report.total_cancelled) == (4, 1)
     assert reports.sample_rows(flights).count() == 4
+
+
+def _load(spark, tmp_path, catalog, *files):
+    warehouse = Warehouse(spark, None if catalog else str(tmp_path / "wh"))
+    warehouse.create()
+    for file in files:
+        pipeline.load_flights(warehouse, [str(file)])
+    return warehouse.read("staging", "flight_raw")
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_files_of_one_name_are_both_kept(spark, tmp_path, catalog):
+    for year in ("2023", "2024"):
+        (tmp_path / year).mkdir()
+        text = f"FlightDate,Origin\n{year}-01-01,AAA\n"
+        (tmp_path / year / "twice.csv").write_text(text)
+    names = [tmp_path / "2023" / "twice.csv", tmp_path / "2024" / "twice.csv"]
+    flights = _load(spark, tmp_path, catalog, *names, names[0]).filter("source_file = 'twice.csv'")
+    assert sorted(str(r.fl_date) for r in flights.collect()) == ["2023-01-01", "2024-01-01"]
+
+
+def test_zipped_and_plain_files_agree_on_quotes(spark, tmp_path):
+    text = (
+        "\n\nFlightDate,Origin,OriginCityName,Distance,CRSDepTime\n"
+        '2024-01-01,AAA,"A ""b"" c",NaN,905.7\n2024-01-02,BBB,"x, ""y""",Infinity,905.0\n'
+    )
+    (tmp_path / "q.csv").write_text(text)
+    with zipfile.ZipFile(tmp_path / "q.zip", "w") as archive:
+        archive.write(tmp_path / "q.csv", "q.csv")
+    columns = ("origin", "origin_city_name", "distance", "crs_dep_time")
+    expected = [("AAA", 'A "b" c', None, None), ("BBB", 'x, "y"', None, 905)]
+    for df in (
+        flight_files.read_flights(spark, [str(tmp_path / "q.csv")]),
+        archives.read_zipped_csv(spark, [str(tmp_path / "q.zip")]),
+    ):
+        assert sorted(tuple(r) for r in df.select(*columns).collect()) == expected
+    found = flight_files.profile(flight_files.read_text_columns(spark, [str(tmp_path / "q.csv")]))
+    unparsable = {r.column_name: r.unparsable for r in found.collect()}
+    assert (unparsable["distance"], unparsable["crs_dep_time"]) == (2, 1)
+
+
+def test_a_file_without_known_columns_is_an_error(spark, files):
+    (files / "foreign.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="no known column"):
+        flight_files.read_flights(spark, [str(files)])
+
+
+def test_headers_take_no_jobs_and_equal_places_one_scan(spark, tmp_path):
+    for k in range(6):
+        (tmp_path / f"{k}.csv").write_text(f"Origin_m{k},Dest\nA,B\n")
+
+    def jobs(paths):
+        group = f"headers-{len(paths)}"
+        spark.sparkContext.setJobGroup(group, group)
+        df = flight_files.read_text_columns(spark, paths)
+        count = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        spark.sparkContext._jsc.clearJobGroup()
+        return df, count
+
+    names = [str(tmp_path / f"{k}.csv") for k in range(6)]
+    (_, one), (df, six) = jobs(names[:1]), jobs(names)
+    assert one == six
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and df.count() == 6
+
+
+def test_columns_of_files(spark, files):
+    rows = flight_files.columns_of_files(spark, [str(files / "jan.csv")]).collect()
+    found = {r.column_name: (r.expected, r.present) for r in rows}
+    assert found["fl_date"] == (True, True) and found["air_time"] == (True, False)
+    assert found["Extra"] == (False, True)
+
+
+def test_partition_names_stay_texts(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    rows = spark.createDataFrame([("007", 1), ("20240101", 2)], "source_file string, n int")
+    stored = warehouse.replace(rows, "marts", "some", "source_file")
+    assert {r.source_file for r in stored.collect()} == {"007", "20240101"}
+
+
+def test_doubled_quotes_in_lookup_files(spark, tmp_path):
+    line = '1,"The ""Old"" One","Town","Canada","YOW","CYOW",1,2,3,-5,"A","Z","airport",""\n'
+    (tmp_path / "airports.dat").write_text(line + AIRPORTS)
+    rows = lookup_files.read_airports(spark, [str(tmp_path / "airports.dat")]).collect()
+    assert {r.airport_name for r in rows if r.iata_code == "YOW"} == {
+        'The "Old" One',
+        'A "quoted" name',
+    }
+
+
+def test_raw_tables_exist_in_a_folder(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    warehouse.create()
+    assert warehouse.exists("staging", "flight_raw")
+    assert warehouse.read("staging", "flight_raw").count() == 0
