@@ -8,28 +8,36 @@ from pyspark.sql import functions as F
 from skymart.cluster import settle
 
 
-def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """labels (node, label) after joining the labels of linked nodes; links has a and b.
+def contracted(
+    labels: DataFrame, links: DataFrame, waiting: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """One round: labels (node, label) after joining linked ones, and the links still waiting.
 
-    Every label takes the smallest label among its own and its neighbours'; links are then moved
-    to the new labels, and those within one label vanish. At least half the labels of a component
-    go in two rounds. The label of a component is the smallest of its labels.
+    links has nodes a and b, waiting has labels u and v from earlier rounds. Every label takes the
+    smallest among its own and its neighbours'; links are then moved to the new labels, and those
+    within one label vanish. At least half the labels of a component go in two rounds.
     """
     ends = labels.select(F.col("node").alias("a"), F.col("label").alias("u"))
     edges = links.join(ends, "a").select("b", "u")
     ends = ends.withColumnsRenamed({"a": "b", "u": "v"})
-    edges = edges.join(ends, "b").filter("u <> v").select("u", "v").distinct()
-    edges = settle(edges)
-    while not edges.isEmpty():
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        parents = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("parent"))
-        parents = settle(parents)
-        moved = labels.join(parents, labels["label"] == parents["u"], "left")
-        labels = settle(moved.select("node", F.coalesce("parent", "label").alias("label")))
-        up = parents.select("u", F.col("parent").alias("p"))
-        vp = parents.select(F.col("u").alias("v"), F.col("parent").alias("q"))
-        edges = settle(
-            edges.join(up, "u").join(vp, "v").filter("p <> q")
-            .select(F.col("p").alias("u"), F.col("q").alias("v")).distinct()
-        )
+    edges = edges.join(ends, "b").filter("u <> v").select("u", "v")
+    edges = edges.union(waiting) if waiting is not None else edges
+    return _round(labels, settle(edges.distinct()))
+
+
+def _round(labels: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    parents = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("parent"))
+    moved = labels.join(parents, labels["label"] == parents["u"], "left")
+    up = parents.select("u", F.col("parent").alias("p"))
+    vp = parents.select(F.col("u").alias("v"), F.col("parent").alias("q"))
+    left = edges.join(up, "u").join(vp, "v").filter("p <> q")
+    left = left.select(F.col("p").alias("u"), F.col("q").alias("v")).distinct()
+    return settle(moved.select("node", F.coalesce("parent", "label").alias("label"))), settle(left)
+
+
+def merged(labels: DataFrame, waiting: DataFrame) -> DataFrame:
+    """labels when no link waits: the label of a component is the smallest of its labels."""
+    while not waiting.isEmpty():
+        labels, waiting = _round(labels, waiting)
     return labels

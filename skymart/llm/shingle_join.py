@@ -33,19 +33,20 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from skymart.cluster import settle, ship
 from skymart.llm import tokens
 from skymart.llm.arrow import arrow_schema, doc_texts, map_rows
-from skymart.llm.components import merged
+from skymart.llm.components import contracted, merged
 
 WORDS = 5
 #: Least Jaccard similarity of a link, in percent.
 PERCENT = 80
 CHUNK_DOCS = 2000
 CHUNK_SHINGLES = 1 << 20
-#: Members of a list that meet its others in one round: doubled each round up to this.
-MOST_PIVOTS = 16
+#: Members of a list that meet its others in the first round, and in later ones at most.
+FIRST_PIVOTS, MOST_PIVOTS = 2, 32
 #: Documents are fetched by broadcasting their ids up to this many (8 bytes each).
 BROADCAST_IDS = 1_000_000
 _MANY = 65535
@@ -87,7 +88,7 @@ def _least(size: np.ndarray | int) -> np.ndarray | int:
 # --- 1. sets whose shingles occur elsewhere ---
 
 
-def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
+def _chunks(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[tuple[list, list[np.ndarray]]]:
     ids: list[int | None] = []
     sets: list[np.ndarray] = []
     held = 0
@@ -96,19 +97,19 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[np.n
             ids.append(doc_id)
             sets.append(own)
             held += len(own)
-            if len(ids) == CHUNK_DOCS or held >= CHUNK_SHINGLES:
+            if len(ids) == most or held >= CHUNK_SHINGLES:
                 yield ids, sets
                 ids, sets, held = [], [], 0
     if ids:
         yield ids, sets
 
 
-def _emit(shard_bits: int):
+def _emit(shard_bits: int, chunk_docs: int):
     """Rows (kind, key, chunk, a, b): one of kind 0 a chunk, one of kind 1 a chunk and shard."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         first = TaskContext.get().partitionId() << 32
-        for number, (ids, sets) in enumerate(_chunks(batches)):
+        for number, (ids, sets) in enumerate(_chunks(batches, chunk_docs)):
             chunk = first + number
             sizes = np.array([len(s) for s in sets], np.int64)
             every = np.concatenate(sets)
@@ -196,11 +197,11 @@ def _decide(schema: pa.Schema):
     return decide
 
 
-def _listed(docs: DataFrame) -> DataFrame:
+def _listed(docs: DataFrame, chunk_docs: int) -> DataFrame:
     """doc_id, signature, n_shingles and close of every document."""
     shard_bits = min(16, max(6, math.ceil(math.log2(docs.count() + 1)) - 11))
     emitted = map_rows(
-        docs, _emit(shard_bits), "kind int, key long, chunk long, a binary, b binary"
+        docs, _emit(shard_bits, chunk_docs), "kind int, key long, chunk long, a binary, b binary"
     )
     answers = "kind int, chunk long, a binary, b binary"
     results = "doc_id long, signature binary, n_shingles long, close boolean"
@@ -387,50 +388,34 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _components(lists: DataFrame, sets: DataFrame) -> DataFrame:
     """node and label: sets of one component have one label."""
     labels = settle(sets.select("node", F.col("node").alias("label")))
-    lists, pivots = settle(lists), 1
+    lists, pivots, links = settle(lists), FIRST_PIVOTS, None
     while True:
         sizes = labels.groupBy("label").agg(F.count("*").alias("weight"))
-        known = labels.join(sizes, "label")
-        live = lists.join(known, "node")
-        chosen = [
-            F.min(
-                F.struct("weight", F.xxhash64("node", F.lit(k)), "node", "size", "place", "label")
-            ).alias(f"pivot{k}")
-            for k in range(pivots)
-        ]
-        heads = live.groupBy("list").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), *chosen
-        )
-        heads = heads.filter("low < high").select(
-            "list", F.explode(F.array_distinct(F.array(*[f"pivot{k}" for k in range(pivots)]))).alias("p")
-        )
+        live = lists.join(labels.join(sizes, "label"), "node")
+        spans = live.groupBy("list").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        order = F.xxhash64("node", F.lit(pivots))
+        rank = F.row_number().over(Window.partitionBy("list").orderBy("weight", order, "node"))
+        heads = live.withColumn("rank", rank).filter(F.col("rank") <= pivots)
+        heads = heads.join(spans.filter("low < high"), "list", "left_semi")
         heads = settle(
-            heads.select(
-                "list",
-                F.col("p.node").alias("p_node"),
-                F.col("p.size").alias("p_size"),
-                F.col("p.place").alias("p_place"),
-                F.col("p.label").alias("p_label"),
-            )
+            heads.select("list", *[F.col(c).alias(f"p_{c}") for c in ("node", "size", "place", "label")])
         )
         if heads.isEmpty():
-            return labels
+            return merged(labels, links) if links is not None else labels
         pairs = (
             live.join(heads, "list")
             .filter((F.col("label") != F.col("p_label")) & _may_link())
-            .select(
-                F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")
-            )
+            .select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"))
             .distinct()
         )
-        labels = merged(labels, settle(_links(pairs, sets)))
+        labels, links = contracted(labels, _links(pairs, sets), links)
         open_lists = lists.join(heads.select("list").distinct(), "list", "left_semi")
         done = heads.select("list", F.col("p_node").alias("node"))
         lists = settle(open_lists.join(done, ["list", "node"], "left_anti"))
-        pivots = min(MOST_PIVOTS, 2 * pivots)
+        pivots = min(MOST_PIVOTS, 4 * pivots)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, chunk_docs: int = CHUNK_DOCS) -> DataFrame:
     """doc_id, n_shingles and component_id of every document.
 
     The component is named by its smallest doc_id. A document with fewer than five words has its
@@ -440,7 +425,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     ship(docs.sparkSession)
     docs = doc_texts(docs)
-    listed = settle(_listed(docs))
+    listed = settle(_listed(docs, chunk_docs))
     sets = _sets(docs, listed)
     shard_bits = min(16, max(4, math.ceil(math.log2(sets.count() + 1)) - 9))
     labels = _components(_lists(_indexed(sets, shard_bits)), sets)
