@@ -13,11 +13,11 @@ have a Jaccard similarity of at least 0.8; the result is the component of links
 3. Sets with identical prefix and size form one group. Only groups are indexed; a shingle with one
    group is dropped; the remaining groups are expanded into their members, and the members of a
    group are a list of their own.
-4. A list isn't expanded into all pairs. In each round a few of its members, from the smallest
-   components first, meet all members of other components whose size and place in the list allow
-   a link, and are then done. Pairs are verified on whole sets, links merge components, and a list
-   is finished when all its members are in one component. So every link between components is
-   found, and a group of copies takes one pair for each member.
+4. A list isn't expanded into all pairs. In each round a few of its members meet all members of
+   other components whose size and place in the list allow a link, and are then done: first some
+   of its largest component, then those of its smallest ones. Pairs are verified on whole sets,
+   links merge components, and a list is finished when all its members are in one component. So
+   every link between components is found, and a group of copies takes few pairs for each member.
 
 Every step works on fixed-size chunks, shards of a bounded part of the hashes, or joins.
 """
@@ -45,9 +45,11 @@ WORDS = 5
 PERCENT = 80
 CHUNK_DOCS = 2000
 CHUNK_SHINGLES = 1 << 20
-#: Members of a list that meet its others in the first round, and in later ones at most.
-FIRST_PIVOTS, MOST_PIVOTS = 2, 32
-#: Documents are fetched by broadcasting their ids up to this many (8 bytes each).
+#: Members of a list's largest component that meet the others, in the first rounds; then, in each
+#: round, so many members of its smallest components.
+LARGE_PIVOTS = (1, 3, 9)
+SMALL_PIVOTS = 32
+#: Documents, and pairs to verify, are fetched by broadcasting ids up to this many.
 BROADCAST_IDS = 1_000_000
 _MANY = 65535
 
@@ -365,10 +367,12 @@ def _may_link():
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
+    few = pairs.count() <= BROADCAST_IDS
+    ends = pairs.select("b").distinct()
     shingles = sets.select(F.col("node").alias("a"), F.col("shingles").alias("one"))
-    both = pairs.join(shingles, "a").join(
-        shingles.withColumnsRenamed({"a": "b", "one": "other"}), "b"
-    )
+    others = sets.select(F.col("node").alias("b"), F.col("shingles").alias("other"))
+    others = others.join(F.broadcast(ends) if few else ends, "b", "left_semi")
+    both = shingles.join(F.broadcast(pairs) if few else pairs, "a").join(others, "b")
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
@@ -388,13 +392,16 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _components(lists: DataFrame, sets: DataFrame) -> DataFrame:
     """node and label: sets of one component have one label."""
     labels = settle(sets.select("node", F.col("node").alias("label")))
-    lists, pivots, links = settle(lists), FIRST_PIVOTS, None
+    lists, number, links = settle(lists), 0, None
     while True:
+        large = number < len(LARGE_PIVOTS)
+        pivots = LARGE_PIVOTS[number] if large else SMALL_PIVOTS
         sizes = labels.groupBy("label").agg(F.count("*").alias("weight"))
         live = lists.join(labels.join(sizes, "label"), "node")
         spans = live.groupBy("list").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        order = F.xxhash64("node", F.lit(pivots))
-        rank = F.row_number().over(Window.partitionBy("list").orderBy("weight", order, "node"))
+        weight = F.desc("weight") if large else F.asc("weight")
+        order = (weight, F.xxhash64("node", F.lit(number)), "node")
+        rank = F.row_number().over(Window.partitionBy("list").orderBy(*order))
         heads = live.withColumn("rank", rank).filter(F.col("rank") <= pivots)
         heads = heads.join(spans.filter("low < high"), "list", "left_semi")
         heads = settle(
@@ -408,11 +415,11 @@ def _components(lists: DataFrame, sets: DataFrame) -> DataFrame:
             .select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"))
             .distinct()
         )
-        labels, links = contracted(labels, _links(pairs, sets), links)
+        labels, links = contracted(labels, _links(settle(pairs), sets), links)
         open_lists = lists.join(heads.select("list").distinct(), "list", "left_semi")
         done = heads.select("list", F.col("p_node").alias("node"))
         lists = settle(open_lists.join(done, ["list", "node"], "left_anti"))
-        pivots = min(MOST_PIVOTS, 4 * pivots)
+        number += 1
 
 
 def near_duplicates(docs: DataFrame, chunk_docs: int = CHUNK_DOCS) -> DataFrame:
