@@ -32,14 +32,17 @@ _MASK = (1 << _BAND) - 1
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, body (a hash of the text), line_no from 0, line, and the line's hashes h and g."""
+    """doc_id, body (a hash of the text), line_no from 0, line, its hashes h and g, and its size."""
     text = F.col("text").cast("string")
     bodies = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("body"), text.alias("text")
     )
     lines = bodies.select("doc_id", "body", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return lines.filter(F.length(F.trim("line")) > 0).select(
-        "*", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g")
+        "*",
+        F.xxhash64("line").alias("h"),
+        F.xxhash64(F.lit(1), "line").alias("g"),
+        F.char_length("line").alias("size"),
     )
 
 
@@ -61,21 +64,26 @@ def _index_keys(line: Column, length: Column) -> Column:
     return F.array(*keys)
 
 
-def _probe_keys(line: Column, length: Column) -> Column:
-    """For each number of missing characters, the keys of the substrings that can be a segment."""
-    keys = []
+def _probes() -> list[tuple[int, int, int]]:
+    """Missing characters, segment and shift of each substring that can be a segment."""
+    found = []
     for missing in range(EDITS + 1):
-        other = length - missing
         for number in range(EDITS + 1):
-            start, size = _segment(other, number)
             behind = EDITS - number
-            low = max(-number, missing - behind)
-            high = min(number, missing + behind)
-            for shift in range(low, high + 1):
-                at = start + shift
-                fits = (at >= 1) & (at + size - 1 <= length)
-                key = F.xxhash64(F.lit(number), other, F.substring(line, at, size))
-                keys.append(F.struct(F.when(fits, key).alias("key"), F.lit(missing > 0).alias("longer")))
+            low, high = max(-number, missing - behind), min(number, missing + behind)
+            found += [(missing, number, shift) for shift in range(low, high + 1)]
+    return found
+
+
+def _probe_keys(line: Column, length: Column) -> Column:
+    """The keys of _probes(), null where a substring would reach over an end."""
+    keys = []
+    for missing, number, shift in _probes():
+        start, size = _segment(length - missing, number)
+        at = start + shift
+        fits = (at >= 1) & (at + size - 1 <= length)
+        key = F.xxhash64(F.lit(number), length - missing, F.substring(line, at, size))
+        keys.append(F.when(fits, key))
     return F.array(*keys)
 
 
@@ -101,20 +109,20 @@ def _apart(a: Column, b: Column) -> Column:
 
 def _candidates(lines: DataFrame) -> DataFrame:
     """Pairs (a, b) of hashes h of lines that may be within EDITS edits."""
-    length = F.char_length("line")
-    line = F.col("line")
-    distinct = lines.filter(length >= NEAR_CHARS).select(
-        "h",
-        _signature(line, length).alias("letters"),
-        _index_keys(line, length).alias("index"),
-        _probe_keys(line, length).alias("probe"),
-    ).distinct()
-    index = distinct.select(
-        F.col("h").alias("b"), F.col("letters").alias("of_b"), F.explode("index").alias("key")
-    )
-    probe = distinct.select(
-        F.col("h").alias("a"), F.col("letters").alias("of_a"), F.explode("probe").alias("p")
-    ).select("a", "of_a", F.col("p.key").alias("key"), F.col("p.longer").alias("longer"))
+    length, line = F.col("size"), F.col("line")
+    letters = _signature(line, length)
+    long_enough = lines.filter(length >= NEAR_CHARS)
+    # Each side makes its own keys and drops equal lines before it multiplies them.
+    index = long_enough.select(
+        F.col("h").alias("b"), letters.alias("of_b"), _index_keys(line, length).alias("keys")
+    ).distinct()
+    index = index.select("b", "of_b", F.explode("keys").alias("key"))
+    probe = long_enough.select(
+        F.col("h").alias("a"), letters.alias("of_a"), _probe_keys(line, length).alias("keys")
+    ).distinct()
+    probe = probe.select("a", "of_a", F.posexplode("keys").alias("place", "key"))
+    equal = sum(missing == 0 for missing, *_ in _probes())
+    probe = probe.withColumn("longer", F.col("place") >= equal)
     # Lines of equal length find each other; one of the two pairs is enough.
     once = (F.col("longer") & (F.col("a") != F.col("b"))) | (F.col("a") > F.col("b"))
     close = _apart(F.col("of_a"), F.col("of_b")) <= 2 * EDITS
@@ -131,8 +139,13 @@ def edit_distance(long: Column, short: Column) -> Column:
     rows i - EDITS to i + EDITS, as bits of vertical steps up (vp) and down (vn); the distance is
     followed along the diagonal that ends at the last characters.
     """
-    rows, columns = F.split(long, ""), F.split(short, "")
-    ahead = F.char_length(long) - F.char_length(short)
+    # A one-element array binds what is read at every step, so that it is computed once.
+    both = F.struct(F.split(long, "").alias("rows"), F.split(short, "").alias("columns"))
+    return F.transform(F.array(both), lambda x: _banded(x["rows"], x["columns"]))[0]
+
+
+def _banded(rows: Column, columns: Column) -> Column:
+    ahead = F.size(rows) - F.size(columns)
 
     def band(vector: Column) -> Column:
         return vector.bitwiseAND(F.lit(_MASK))
@@ -149,7 +162,7 @@ def edit_distance(long: Column, short: Column) -> Column:
         return reduce(lambda a, b: a + b, bits)
 
     def first(state: Column, column: Column) -> Column:
-        """Horizontal zero steps d, kept beside the state."""
+        """The state and the vector d of rows that equal their upper left neighbour."""
         x, vp, vn = matches(column), state["vp"], state["vn"]
         return F.struct(
             vp.alias("vp"),
@@ -162,20 +175,22 @@ def edit_distance(long: Column, short: Column) -> Column:
         vp, vn, d = state["vp"], state["vn"], state["d"]
         hp, hn = vn.bitwiseOR(other(d.bitwiseOR(vp))), d.bitwiseAND(vp)
         below = F.shiftright(d, 1)
+        step = 1 - F.call_function("getbit", d, ahead + EDITS)
         return F.struct(
             hn.bitwiseOR(other(below.bitwiseOR(hp))).alias("vp"),
             below.bitwiseAND(hp).alias("vn"),
-            (state["edits"] + 1 - F.call_function("getbit", d, ahead + EDITS)).cast("int").alias("edits"),
+            (state["edits"] + step).cast("int").alias("edits"),
         )
 
     def step(state: Column, column: Column) -> Column:
-        # A one-element array binds the vector d, which the rest of the step reads often.
         return F.transform(F.array(first(state, column)), second)[0]
 
     begin = F.struct(
-        F.lit(_MASK ^ ((1 << EDITS) - 1)).alias("vp"), F.lit(0).alias("vn"), ahead.cast("int").alias("edits")
+        F.lit(_MASK ^ ((1 << EDITS) - 1)).alias("vp"),
+        F.lit(0).alias("vn"),
+        ahead.cast("int").alias("edits"),
     )
-    places = F.sequence(F.lit(0), F.char_length(short) - 1)
+    places = F.sequence(F.lit(0), F.size(columns) - 1)
     return F.aggregate(places, begin, step, lambda s: s["edits"])
 
 
@@ -198,6 +213,9 @@ def _near(lines: DataFrame) -> DataFrame:
     long = F.when(swap, F.col("b_line")).otherwise(F.col("a_line"))
     short = F.when(swap, F.col("a_line")).otherwise(F.col("b_line"))
     both = both.filter(F.char_length(long) - F.char_length(short) <= EDITS)
+    # Few rows with much work each: dealt anew, as their bytes alone would go to few tasks.
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = both.repartition(tasks, "a", "b")
     linked = both.filter(edit_distance(long, short) <= EDITS)
     later = F.col("a_place") > F.col("b_place")
     return linked.select(

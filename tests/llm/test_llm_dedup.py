@@ -85,7 +85,7 @@ def test_near_duplicates_match_all_pairs(corpus):
 
 def test_near_duplicates_in_a_large_group(spark, monkeypatch):
     """A chain of documents that changes little by little, so that its ends don't link."""
-    monkeypatch.setattr(shingle_join, "FIRST_PIVOTS", 1)
+    monkeypatch.setattr(shingle_join, "SMALL_PIVOTS", 2)
     draw = random.Random(5)
     words = [f"w{draw.randrange(10_000)}" for _ in range(100)]
     rows = []
