@@ -1,17 +1,28 @@
 """Flight-shaped raw tables derived from the test tables.
 
 The expressions are read alike by Spark SQL and by DuckDB, so both sides of a
-comparison start from the same rows.
+comparison start from the same rows. A tenth of the flights share one route, and a few
+thousandths break a rule each: a repeated id (h = 993), no or zero distance (994, 995), and
+minutes beyond any plausible delay (996, 997, the latter all of one unknown carrier).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skymart import schema
+from skymart.cluster import shared_folder
+
+MISSING = "\\N"
+
 _LINES = """
     select l_orderkey as ok, l_linenumber as ln, l_partkey as pk, l_suppkey as sk,
-           l_shipdate as sd, s_nationkey as sn, c_nationkey as cn,
+           l_shipdate as sd,
+           case when l_partkey % 10 = 0 then 3 else s_nationkey end as sn,
+           case when l_partkey % 10 = 0 then 8 else c_nationkey end as cn,
            (l_partkey * 7 + l_orderkey * 13 + l_linenumber * 31) % 1000 as h
     from {lineitem}
     join {orders} on l_orderkey = o_orderkey
@@ -21,18 +32,20 @@ _LINES = """
 
 _DELAYED = """
     select *,
-           case when h < 25 then null when h < 600 then 0
+           case when h < 25 then null when h < 600 then 0 when h = 997 then 1600
                 else (pk * 11 + ok * 3) % 240 end as ad,
-           case when h < 20 then null when h < 550 then 0
+           case when h < 20 then null when h < 550 then 0 when h = 996 then 1700
                 else (pk * 5 + ok * 7) % 200 end as dd
     from lines
 """
 
 _FLIGHTS = """
     select
-      ((ok * 8 + ln) * 100000 + pk) * 10000 + sk as flight_id,
+      case when h = 993 then 993
+           else ((ok * 8 + ln) * 100000 + pk) * 10000 + sk end as flight_id,
       cast(sd as date) as fl_date,
-      concat('A', chr(cast(65 + pk % 12 as int))) as reporting_airline,
+      case when h = 997 then 'AZ'
+           else concat('A', chr(cast(65 + pk % 12 as int))) end as reporting_airline,
       concat('N', cast(sk as string)) as tail_number,
       cast(pk % 900 + 100 as string) as flight_number,
       cast(10000 + sn as int) as origin_airport_id,
@@ -62,7 +75,8 @@ _FLIGHTS = """
       cast(60 + pk % 300 as double) as crs_elapsed_time,
       case when h >= 25 then cast(58 + pk % 310 as double) end as actual_elapsed_time,
       case when h >= 25 then cast(40 + pk % 280 as double) end as air_time,
-      cast(((sn * 37 + cn * 53) % 25) * 100 + 50 as double) as distance,
+      cast(case when h = 995 then 0 when h = 994 then null
+           else ((sn * 37 + cn * 53) % 25) * 100 + 50 end as double) as distance,
       cast(case when ad >= 15 then case when ok % 6 = 0 then ad
            when ok % 6 = 1 then ad - ad % 7 else 0 end end as double) as carrier_delay,
       cast(case when ad >= 15 then case when ok % 6 = 2 then ad else 0 end end as double)
@@ -143,3 +157,27 @@ def airport_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def airline_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(_query(spark, sf_dir, "airline_raw"))
+
+
+def flight_files(spark: SparkSession, sf_dir: str) -> str:
+    """The flights as CSV files, under the headers of the real ones, in the shared folder."""
+    folder = _folder(spark, "flights")
+    named = [F.col(f.name).alias(f.header) for f in schema.FLIGHT_FIELDS]
+    flight_raw(spark, sf_dir).select(*named).write.csv(folder, header=True, escape='"')
+    return folder
+
+
+def lookup_file(spark: SparkSession, raw: DataFrame, columns: tuple[str, ...]) -> str:
+    """A lookup as lines of quoted fields without a header; fields it lacks are missing marks."""
+    folder = _folder(spark, "lookup")
+    fields = [
+        F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) if c in raw.columns else F.lit(MISSING)
+        for c in columns
+    ]
+    quoted = [F.concat(F.lit('"'), F.replace(f, F.lit('"'), F.lit('""')), F.lit('"')) for f in fields]
+    raw.select(F.concat_ws(",", *quoted).alias("value")).write.text(folder)
+    return folder
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

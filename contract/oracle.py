@@ -70,8 +70,8 @@ _CTES: dict[str, str] = {
                  ifnull(late_aircraft_delay, 0) as late_aircraft_delay),
                crs_dep_time // 100 as dep_hour,
                crs_arr_time // 100 as arr_hour,
-               cancelled <> 0 as is_cancelled,
-               diverted <> 0 as is_diverted,
+               cancelled = 1 as is_cancelled,
+               diverted = 1 as is_diverted,
                r.dep_delay_minutes > 15 as is_delayed_departure,
                r.arr_delay_minutes > 15 as is_delayed_arrival,
                p.total as total_delay_minutes,
@@ -126,8 +126,9 @@ _CTES: dict[str, str] = {
                f.cancellation_code, cc.reason as cancellation_reason,
                f.distance, f.air_time, f.actual_elapsed_time, f.crs_elapsed_time, f.taxi_out,
                f.taxi_in,
-               case when f.distance >= 1500 then 'Long Haul' when f.distance >= 500
-                 then 'Medium Haul' else 'Short Haul' end as distance_bucket,
+               case when f.distance is null or f.distance >= 1500 then 'Long Haul'
+                 when f.distance >= 500 then 'Medium Haul' else 'Short Haul' end
+                 as distance_bucket,
                case when o.us_state is null then false
                  else o.us_state = d.us_state end as is_same_state_flight,
                f.ingested_at, f.source_file
@@ -216,7 +217,7 @@ _CTES: dict[str, str] = {
                    as most_common_delay_cause,
                  mode(dep_time_period order by dep_time_period) as most_common_delay_period
           from int_flights_enriched group by all
-        ) where total_flights > 9""",
+        ) where total_flights >= 10""",
 }
 
 
@@ -296,7 +297,19 @@ _UNIQUE = (
 )
 _UNION = " union all "
 
+_FLIGHT_COLUMNS = ", ".join(f.name for f in schema.FLIGHT_FIELDS)
+
 _QUERIES: dict[str, str] = {
+    "load_flights": f"select {_FLIGHT_COLUMNS} from flight_raw",
+    "load_airports": f"""
+        select trim(iata_code) as iata_code, nullif(icao_code, '') as icao_code, airport_name,
+               city, country, latitude, longitude, altitude, timezone, dst
+        from airport_raw
+        where length(trim(iata_code)) = 3""",
+    "load_airlines": f"""
+        select trim(iata_code) as iata_code, nullif(icao_code, '') as icao_code, airline_name,
+               country, active
+        from airline_raw where active = 'Y'""",
     "stg_flights": "select * from stg_flights",
     "stg_airlines": "select * from stg_airlines",
     "stg_airports": "select * from stg_airports",
@@ -408,7 +421,7 @@ _QUERIES: dict[str, str] = {
         from mart_delay_analysis group by dep_time_period""",
     "worst_routes": """
         select route, carrier_name, total_flights, on_time_rate, cancellation_rate
-        from mart_route_analysis where total_flights > 99
+        from mart_route_analysis where total_flights >= 100
         order by on_time_rate asc nulls last, route nulls last, carrier_name nulls last,
                  total_flights, cancellation_rate
         limit 10""",
@@ -423,7 +436,7 @@ _QUERIES: dict[str, str] = {
         limit 10""",
     "delayed_airports": """
         select iata_code, airport_name, total_departures, avg_departure_delay
-        from mart_airport_performance where total_departures > 499
+        from mart_airport_performance where total_departures >= 500
         order by avg_departure_delay desc nulls last, iata_code nulls last,
                  airport_name nulls last
         limit 10""",

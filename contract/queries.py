@@ -15,6 +15,8 @@ from skymart.functions import exact
 from skymart.functions import flights as fn
 from skymart.operators import aggregates, checks
 from skymart.plans import enriched, marts, reports, staging
+from skymart.sources import flight_files as readers
+from skymart.sources import lookup_files
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -153,9 +155,10 @@ def _group_modes(t: Inputs) -> DataFrame:
 
 
 def _distinct_counts(t: Inputs) -> DataFrame:
-    return t.enriched.groupBy("origin").agg(
-        F.countDistinct("route").alias("routes"),
-        F.countDistinct("reporting_airline").alias("carriers"),
+    cells = t.enriched.groupBy("origin", "route", "reporting_airline").agg(exact.row_count())
+    return cells.groupBy("origin").agg(
+        F.size(F.collect_set("route")).cast("long").alias("routes"),
+        F.size(F.collect_set("reporting_airline")).cast("long").alias("carriers"),
     )
 
 
@@ -189,7 +192,29 @@ def _check(kind: str) -> Callable[[Inputs], DataFrame]:
     return lambda t: checks.run_checks({name: t.table(name) for name in names}, rules)
 
 
+def _loaded_flights(t: Inputs) -> DataFrame:
+    """The flights after a round trip through CSV files."""
+    loaded = readers.read_flights(t.spark, [fixture.flight_files(t.spark, t.sf_dir)])
+    return loaded.drop("ingested_at", "source_file")
+
+
+def _loaded_airports(t: Inputs) -> DataFrame:
+    raw = fixture.airport_raw(t.spark, t.sf_dir)
+    folder = fixture.lookup_file(t.spark, raw, schema.AIRPORT_FILE_COLUMNS)
+    return lookup_files.read_airports(t.spark, [folder]).drop("ingested_at")
+
+
+def _loaded_airlines(t: Inputs) -> DataFrame:
+    raw = fixture.airline_raw(t.spark, t.sf_dir)
+    folder = fixture.lookup_file(t.spark, raw, schema.AIRLINE_FILE_COLUMNS)
+    return lookup_files.read_airlines(t.spark, [folder]).drop("ingested_at")
+
+
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
+    # files
+    "load_flights": _loaded_flights,
+    "load_airports": _loaded_airports,
+    "load_airlines": _loaded_airlines,
     # cleaned views and single derived columns
     "stg_flights": lambda t: t.flights,
     "stg_airlines": lambda t: t.airlines.drop("ingested_at"),

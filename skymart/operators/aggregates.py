@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,23 +9,6 @@ from skymart.functions import exact
 from skymart.functions.flights import first_match
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the session's checkpoint folder and continue from there.
-
-    For aggregated results that are read more than once: it saves a second pass over the
-    facts and survives the loss of executors.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="skymart-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
-
-
 def most_frequent(value: str, count: str) -> Column:
     """Aggregate over (value, count) rows: the value with the highest count.
 
@@ -49,17 +30,17 @@ def global_rank(df: DataFrame, by: str, rank: str) -> DataFrame:
 
     Ties share a rank and leave a gap. Only the distinct values of ``by`` are ordered in
     one task: at most 10,001 for a percentage with two decimals; for group sizes over N
-    facts at most sqrt(2 N), since distinct sizes must sum to N or less.
+    facts at most sqrt(2 N), since distinct sizes must sum to N or less. Both sides of the join
+    read the one shuffle of the aggregate in ``df``.
     """
-    settled = settle(df)
-    sizes = settled.groupBy(F.col(by).alias("_value")).agg(exact.row_count().alias("_rows"))
+    sizes = df.groupBy(F.col(by).alias("_value")).agg(exact.row_count().alias("_rows"))
     ahead = Window.orderBy(F.desc_nulls_first("_value")).rowsBetween(
         Window.unboundedPreceding, -1
     )
     ranks = sizes.select(
         "_value", (F.coalesce(F.sum("_rows").over(ahead), F.lit(0)) + 1).cast("int").alias(rank)
     )
-    return settled.join(ranks, F.col(by).eqNullSafe(F.col("_value"))).drop("_value")
+    return df.join(ranks, F.col(by).eqNullSafe(F.col("_value"))).drop("_value")
 
 
 def share_of_total(df: DataFrame, count: str, of: DataFrame, share: str, scale: int) -> DataFrame:

@@ -2,7 +2,8 @@
 
 A dimension is broadcast only after its row count was found to be within a bound.
 Beyond the bound the equi lookup is a plain join, which Spark shuffles and whose hot
-keys adaptive execution splits, and the range lookup becomes an equi join on bins.
+keys adaptive execution splits, and the range lookup becomes equi joins: distinct values meet the
+ranges in bins that are as wide as the range, then facts meet their value.
 """
 
 from __future__ import annotations
@@ -11,8 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
-BROADCAST_RANGES = 1_000
+BROADCAST_RANGES = 64
+#: A range lies in bins of the width BIN_WIDTH * BIN_GROWTH**n that make it touch few of them.
 BIN_WIDTH = 60
+BIN_GROWTH = 8
 
 
 def within(df: DataFrame, rows: int) -> bool:
@@ -42,21 +45,32 @@ def range_lookup(
 ) -> DataFrame:
     """Left outer join on ``value`` between ``low`` and ``high``, both ends included.
 
-    Overlapping ranges repeat the fact; a value in no range gets NULLs. Many ranges are
-    repeated once per bin they touch, so that a fact meets only the ranges of its own bin.
+    Overlapping ranges repeat the fact; a value in no range gets NULLs. Many ranges are put, each
+    with its width's bins, into at most BIN_GROWTH + 1 bins whatever their width; each distinct
+    value looks into its bin of every width that occurs.
     """
     inside = F.col(value).between(F.col(low), F.col(high))
     if within(ranges, max_broadcast):
         return facts.join(F.broadcast(ranges), inside, "left").drop(low, high)
 
+    widest = (F.col(high) - F.col(low)).cast("double") / bin_width
+    level = F.ceil(F.log(float(BIN_GROWTH), F.greatest(widest, F.lit(1.0))))
+
     def bin_of(column: str):
-        return F.floor(F.col(column) / bin_width)
-
-    touched = F.sequence(bin_of(low), bin_of(high))
-    binned = ranges.filter(F.col(low) <= F.col(high)).withColumn("_range_bin", F.explode(touched))
-    same_bin = F.col("_value_bin") == F.col("_range_bin")
-    return (
-        facts.withColumn("_value_bin", bin_of(value))
-        .join(binned, same_bin & inside, "left")
-        .drop(low, high, "_value_bin", "_range_bin")
+        width = F.lit(float(bin_width)) * F.pow(F.lit(float(BIN_GROWTH)), F.col("_level"))
+        return F.floor(F.col(column) / width)
+
+    wide = ranges.select(*[F.col(c).cast("long").alias(c) if c in (low, high) else c for c in ranges.columns])
+    wide = wide.filter(F.col(low) <= F.col(high)).withColumn("_level", level)
+    binned = wide.withColumn("_bin", F.explode(F.sequence(bin_of(low), bin_of(high))))
+    levels = [r["_level"] for r in binned.select("_level").distinct().collect()]
+    values = facts.select(F.col(value).alias("_value")).filter(F.col("_value").isNotNull()).distinct()
+    every = F.array(*map(F.lit, levels)).cast("array<long>")
+    probes = values.withColumn("_level", F.explode(every))
+    probes = probes.withColumn("_bin", bin_of("_value"))
+    found = (
+        probes.join(binned, ["_level", "_bin"])
+        .filter(F.col("_value").between(F.col(low), F.col(high)))
+        .drop("_level", "_bin", low, high)
     )
+    return facts.join(found, F.col(value) == F.col("_value"), "left").drop("_value")

@@ -149,7 +149,7 @@ def _departures(cells: DataFrame, hours: DataFrame) -> DataFrame:
 
 def airport_facts(flights: DataFrame) -> DataFrame:
     """Departure figures per origin airport with the number of arrivals there."""
-    cells = aggregates.settle(_airport_cells(flights))
+    cells = _airport_cells(flights)
     hours = flights.groupBy(
         F.col("origin").alias("iata_code"),
         F.col("origin_airport_name").alias("airport_name"),

@@ -16,6 +16,13 @@ TOP = 10
 TOP_CARRIERS = 5
 MIN_ROUTE_FLIGHTS = 100
 MIN_DEPARTURES = 500
+#: The column each mart is read by, from high to low.
+MART_ORDER = {
+    "mart_carrier_performance": "reliability_score",
+    "mart_airport_performance": "total_departures",
+    "mart_delay_analysis": "flight_count",
+    "mart_route_analysis": "total_flights",
+}
 
 
 def _ordered(df: DataFrame, *order: Column, limit: int | None = None) -> DataFrame:
@@ -26,23 +33,44 @@ def _ordered(df: DataFrame, *order: Column, limit: int | None = None) -> DataFra
 # Questions about the loaded flights
 
 
+def _by_carrier_and_origin(flights: DataFrame) -> DataFrame:
+    """Partial figures per airline and origin: a few thousand rows, whatever the flights."""
+    arrival = F.when(F.col("arr_delay_minutes") > 0, F.col("arr_delay_minutes"))
+    return flights.groupBy("reporting_airline", "origin").agg(
+        exact.row_count().alias("rows"),
+        F.min("fl_date").alias("first_date"),
+        F.max("fl_date").alias("last_date"),
+        F.count_if(F.col("cancelled") == 1).alias("cancelled"),
+        F.sum(arrival).alias("late_minutes"),
+        F.count(arrival).alias("late"),
+    )
+
+
+def _distinct(column: str) -> Column:
+    """Aggregate over partial figures: the number of distinct values, without copying rows."""
+    return F.size(F.collect_set(column)).cast("long")
+
+
 def load_report(flights: DataFrame) -> DataFrame:
     """One row: size, date span, carriers, origins, cancellations and mean late arrival."""
-    arrival = F.col("arr_delay_minutes")
-    rows = exact.row_count()
-    cancelled = F.count_if(F.col("cancelled") == 1)
-    return flights.agg(
+    rows, cancelled = F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("cancelled"), F.lit(0))
+    return _by_carrier_and_origin(flights).agg(
         rows.alias("total_rows"),
-        F.min("fl_date").alias("min_date"),
-        F.max("fl_date").alias("max_date"),
-        F.countDistinct("reporting_airline").alias("unique_airlines"),
-        F.countDistinct("origin").alias("unique_origins"),
+        F.min("first_date").alias("min_date"),
+        F.max("last_date").alias("max_date"),
+        _distinct("reporting_airline").alias("unique_airlines"),
+        _distinct("origin").alias("unique_origins"),
         cancelled.alias("total_cancelled"),
-        exact.mean_where(arrival, arrival > 0).alias("avg_arr_delay_minutes"),
+        exact.mean(F.sum("late_minutes"), F.sum("late")).alias("avg_arr_delay_minutes"),
         F.coalesce(exact.percent(cancelled, rows), F.lit(0)).alias("cancellation_rate"),
     )
 
 
+def in_order(mart: DataFrame, name: str) -> DataFrame:
+    """A mart in its own order, with NULLs last: stored tables have none."""
+    return _ordered(mart, F.desc_nulls_last(MART_ORDER[name]))
+
+
 def require_loaded(flights: DataFrame) -> DataFrame:
     """The load report, or an error if there are no flights."""
     if flights.isEmpty():
@@ -59,10 +87,11 @@ def date_span(flights: DataFrame) -> DataFrame:
 
 
 def headline_metrics(flights: DataFrame) -> DataFrame:
-    return flights.agg(
-        exact.row_count().alias("total_flights"),
-        F.countDistinct("reporting_airline").alias("airlines"),
-        F.countDistinct("origin").alias("airports"),
+    cells = flights.groupBy("reporting_airline", "origin").agg(exact.row_count().alias("rows"))
+    return cells.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_flights"),
+        _distinct("reporting_airline").alias("airlines"),
+        _distinct("origin").alias("airports"),
     )
 
 

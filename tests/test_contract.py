@@ -8,12 +8,13 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
+from contract import oracle, queries
 from contract.queries import Inputs
-from skymart.plans import marts
+from skymart.plans import marts, reports
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = queries.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,8 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert ORACLE.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)
@@ -78,3 +81,19 @@ def test_mart_scan_is_pruned(spark, tmp_path):
     plan = _plan(marts.route_facts(spark.read.parquet(str(tmp_path / "enriched"))))
     scanned = plan.split("ReadSchema: struct<")[1]
     assert "tail_number" not in scanned and "taxi_out" not in scanned
+
+
+@pytest.mark.parametrize("name", ["load_report", "headline_metrics", "distinct_counts"])
+def test_distinct_counts_copy_no_rows(spark, name):
+    assert "Expand" not in _plan(QUERIES[name](spark, SF_DIR))
+
+
+def test_marts_are_read_in_order(spark):
+    marts_by_name = {
+        "mart_carrier_performance": Inputs(spark, SF_DIR).carriers,
+        "mart_route_analysis": Inputs(spark, SF_DIR).routes,
+    }
+    for name, mart in marts_by_name.items():
+        values = [r[reports.MART_ORDER[name]] for r in reports.in_order(mart, name).collect()]
+        known = [v for v in values if v is not None]
+        assert known and values == sorted(known, reverse=True) + [None] * (len(values) - len(known))

@@ -442,3 +442,18 @@ def test_delay_limit_check(raw):
     flights = staging.stg_flights(raw({}, {"arr_delay_minutes": 1501.0}, {"dep_delay_minutes": 1600.0}))
     rule = next(c for c in checks.DECLARED if c.kind == "valid_delays")
     assert checks.violating(flights, rule).count() == 2
+
+
+def test_many_ranges_of_any_width(spark):
+    """Thousands of ranges, one of them over all numbers, give what the nested loop gives."""
+    ranges = [(f"r{k}", 7 * k - 5000, 7 * k - 5000 + k % 300) for k in range(5000)]
+    ranges += [("all", -(2**31), 2**31 - 1), ("none", 5, 4)]
+    ranges = spark.createDataFrame(ranges, "label string, low int, high int")
+    facts = [(k, None if k % 50 == 0 else k * 13 - 6000) for k in range(1500)]
+    facts = spark.createDataFrame(facts, "id int, minutes int")
+    looked_up = [
+        lookups.range_lookup(facts, ranges, "minutes", "low", "high", max_broadcast=n)
+        for n in (10_000, 0)
+    ]
+    few, many = (sorted(map(tuple, df.select("id", "minutes", "label").collect()), key=str) for df in looked_up)
+    assert few == many
