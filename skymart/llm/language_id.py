@@ -29,6 +29,7 @@ FEATURES = 4096
 PER_LANGUAGE = 300
 CENTROIDS = 4
 ROUNDS = 8
+RANK_PARTS = 64
 #: A text is rejected below this part of the smallest cosine among its language's own texts.
 MARGIN = 0.5
 UNDETERMINED = "und"
@@ -97,20 +98,24 @@ def _cluster(rows: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def fit(docs: DataFrame, labelled: Column) -> Model | None:
-    """Learn from the rows where labelled holds, lang is not null and the text has a letter.
+    """Learn from the rows where labelled holds, that have a doc_id and a lang, and text with letters.
 
-    None if there is no such row.
+    None if there is no such row. Ids are ranked by parts of their hash first, then the few that are
+    left of each language; only the texts of the chosen ones are moved.
     """
-    rank = F.row_number().over(
-        Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    )
-    chosen = (
-        docs.filter(labelled & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-        .select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-        .withColumn("rank", rank)
-        .filter(F.col("rank") <= PER_LANGUAGE)
-        .select("doc_id", "text", "lang")
+    usable = labelled & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()
+    learned = docs.filter(usable & F.col("text").rlike(r"\p{L}")).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", "lang"
     )
+    order = F.xxhash64(F.col("doc_id").cast("string"))
+    chosen = learned.select("doc_id", "lang", order.alias("order"))
+    for parts in (RANK_PARTS, 1):
+        part = F.pmod("order", F.lit(parts))
+        rank = F.row_number().over(Window.partitionBy("lang", part).orderBy("order", "doc_id"))
+        chosen = chosen.withColumn("rank", rank).filter(F.col("rank") <= PER_LANGUAGE).drop("rank")
+    # At most PER_LANGUAGE ids a language.
+    chosen = learned.join(F.broadcast(chosen.drop("order")), ["doc_id", "lang"], "left_semi")
+    chosen = chosen.select("doc_id", "text", "lang")
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
