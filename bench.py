@@ -97,6 +97,7 @@ def main() -> None:
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "first_round": rounds[0],
         "sf": SF_DIR.rsplit("/sf", 1)[-1],
     }
     print(json.dumps(result))
