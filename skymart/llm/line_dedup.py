@@ -46,22 +46,25 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _segment(length: Column, number: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of a segment: the last ones are longer if it doesn't come out even."""
+def _segment(length: Column, number: Column) -> tuple[Column, Column]:
+    """Start (from 0) and length of a segment: the last ones are longer if it doesn't come out even."""
     parts = EDITS + 1
-    short = F.call_function("div", length, F.lit(parts))
-    longer = length % parts
-    before = F.greatest(F.lit(number - parts) + longer, F.lit(0))
-    size = short + F.when(longer >= parts - number, 1).otherwise(0)
-    return (short * number + before + 1).cast("int"), size.cast("int")
+    short, longer = F.call_function("div", length, F.lit(parts)), length % parts
+    before = F.greatest(number - parts + longer, F.lit(0))
+    return short * number + before, short + F.when(longer >= parts - number, 1).otherwise(0)
 
 
-def _index_keys(line: Column, length: Column) -> Column:
-    keys = []
-    for number in range(EDITS + 1):
-        start, size = _segment(length, number)
-        keys.append(F.xxhash64(F.lit(number), length, F.substring(line, start, size)))
-    return F.array(*keys)
+def _key(wide: Column, length: Column, number: Column, at: Column, size: Column) -> Column:
+    """The hash of a substring as a segment of a line of this length."""
+    part = F.substring(wide, (4 * at + 1).cast("int"), (4 * size).cast("int"))
+    return F.xxhash64(number, length, part)
+
+
+def _index_keys(wide: Column, length: Column) -> Column:
+    def key(number: Column) -> Column:
+        return _key(wide, length, number, *_segment(length, number))
+
+    return F.transform(F.array(*map(F.lit, range(EDITS + 1))), key)
 
 
 def _probes() -> list[tuple[int, int, int]]:
@@ -75,25 +78,29 @@ def _probes() -> list[tuple[int, int, int]]:
     return found
 
 
-def _probe_keys(line: Column, length: Column) -> Column:
+def _probe_keys(wide: Column, length: Column) -> Column:
     """The keys of _probes(), null where a substring would reach over an end."""
-    keys = []
-    for missing, number, shift in _probes():
-        start, size = _segment(length - missing, number)
-        at = start + shift
-        fits = (at >= 1) & (at + size - 1 <= length)
-        key = F.xxhash64(F.lit(number), length - missing, F.substring(line, at, size))
-        keys.append(F.when(fits, key))
-    return F.array(*keys)
+    names = ("missing", "number", "shift")
+
+    def key(probe: Column) -> Column:
+        other = length - probe["missing"]
+        start, size = _segment(other, probe["number"])
+        at = start + probe["shift"]
+        fits = (at >= 0) & (at + size <= length)
+        return F.when(fits, _key(wide, other, probe["number"], at, size))
 
+    probes = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, p)]) for p in _probes()]
+    return F.transform(F.array(*probes), key)
 
-def _signature(line: Column, length: Column) -> Column:
+
+def _signature(line: Column) -> Column:
     """Counts of the LETTERS modulo 128, packed in one number."""
-    counts = [
-        F.shiftleft((length - F.char_length(F.replace(line, F.lit(x), F.lit("")))).cast("long") % 128, 8 * k)
-        for k, x in enumerate(LETTERS)
-    ]
-    return reduce(lambda a, b: a.bitwiseOR(b), counts)
+
+    def add(packed: Column, letter: Column) -> Column:
+        count = F.octet_length(line) - F.octet_length(F.replace(line, letter, F.lit("")))
+        return F.shiftleft(packed, 8).bitwiseOR((count % 128).cast("long"))
+
+    return F.aggregate(F.array(*map(F.lit, LETTERS)), F.lit(0).cast("long"), add)
 
 
 def _apart(a: Column, b: Column) -> Column:
@@ -109,16 +116,18 @@ def _apart(a: Column, b: Column) -> Column:
 
 def _candidates(lines: DataFrame) -> DataFrame:
     """Pairs (a, b) of hashes h of lines that may be within EDITS edits."""
-    length, line = F.col("size"), F.col("line")
-    letters = _signature(line, length)
-    long_enough = lines.filter(length >= NEAR_CHARS)
+    # Four bytes a character, so that a substring is found without counting characters.
+    wide = lines.filter(F.col("size") >= NEAR_CHARS).select(
+        "h", "line", "size", F.encode("line", "UTF-32").alias("wide")
+    )
+    letters, line = _signature(F.col("line")), (F.col("wide"), F.col("size"))
     # Each side makes its own keys and drops equal lines before it multiplies them.
-    index = long_enough.select(
-        F.col("h").alias("b"), letters.alias("of_b"), _index_keys(line, length).alias("keys")
+    index = wide.select(
+        F.col("h").alias("b"), letters.alias("of_b"), _index_keys(*line).alias("keys")
     ).distinct()
     index = index.select("b", "of_b", F.explode("keys").alias("key"))
-    probe = long_enough.select(
-        F.col("h").alias("a"), letters.alias("of_a"), _probe_keys(line, length).alias("keys")
+    probe = wide.select(
+        F.col("h").alias("a"), letters.alias("of_a"), _probe_keys(*line).alias("keys")
     ).distinct()
     probe = probe.select("a", "of_a", F.posexplode("keys").alias("place", "key"))
     equal = sum(missing == 0 for missing, *_ in _probes())
