@@ -7,12 +7,14 @@ in that order; encoding carries it on, so that the mix can be restored wherever
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skymart.cluster import shared_folder
 from skymart.llm import bpe, language_id, line_dedup, mixing, shingle_join
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -62,8 +64,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of all stages over the documents of sf_dir."""
+    """The result of all stages over the documents of sf_dir.
+
+    Every stage but the last is written to the shared folder and read again, so that no later one
+    computes it anew; the files stay until deleted, as the result is read from them.
+    """
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
