@@ -4,7 +4,7 @@ A text becomes a TF-IDF vector of its byte bigrams and trigrams (lower case for
 fixed number of features, normalised to length 1). Each language has a few centroids, found by
 spherical k-means over its labelled texts; a text gets the language of the centroid with the
 largest cosine. A text much further from its nearest centroid than any text that its language was
-learned from is rejected.
+learned from is rejected, unless it is too short to be judged.
 
 The model is fitted on the driver from at most PER_LANGUAGE vectors a language (a documented
 sample: the labelled texts with the smallest hashed doc_id). Predictions read every whole text.
@@ -26,12 +26,16 @@ from skymart.cluster import ship
 from skymart.llm.arrow import doc_texts, map_rows
 
 FEATURES = 4096
-PER_LANGUAGE = 300
-CENTROIDS = 4
+PER_LANGUAGE = 600
+CENTROIDS = 6
+#: Part of a language's texts that are too odd to become a centroid's first member.
+OUTLIERS = 0.02
 ROUNDS = 8
 RANK_PARTS = 64
 #: A text is rejected below this part of the smallest cosine among its language's own texts.
 MARGIN = 0.5
+#: Texts with fewer n-grams (about twice their bytes) are too short to be rejected by distance.
+JUDGED_GRAMS = 400
 UNDETERMINED = "und"
 #: Bytes of text worked on at a time; a longer text is counted piece by piece.
 PIECE = 1 << 18
@@ -85,11 +89,20 @@ class Model:
         nearest = cosines.argmax(axis=1)
         return nearest, np.clip(cosines[np.arange(len(nearest)), nearest], 0.0, 1.0)
 
+    def near(self, counts: np.ndarray, nearest: np.ndarray, cosines: np.ndarray) -> np.ndarray:
+        """Whether each row is near enough to its centroid, or too short to be judged."""
+        return (cosines >= self.floors[nearest]) | (counts.sum(axis=1) < JUDGED_GRAMS)
+
 
 def _cluster(rows: np.ndarray) -> tuple[np.ndarray, float]:
-    """Spherical k-means from evenly spaced rows: centroids, and the least cosine of a row."""
-    count = min(CENTROIDS, len(rows))
-    centroids = rows[np.arange(count) * len(rows) // count]
+    """Spherical k-means: centroids, and the least cosine of a row.
+
+    It begins with the mean; each next centroid is a row far from those before, but for the OUTLIERS.
+    """
+    centroids = _unit(rows.mean(axis=0, keepdims=True))
+    while len(centroids) < min(CENTROIDS, len(rows)):
+        order = (rows @ centroids.T).max(axis=1).argsort(kind="stable")
+        centroids = np.vstack([centroids, rows[order[int(OUTLIERS * len(rows))]]])
     for _ in range(ROUNDS):
         nearest = (rows @ centroids.T).argmax(axis=1)
         sums = [rows[nearest == k].sum(axis=0) for k in range(len(centroids))]
@@ -159,12 +172,14 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         )
 
     def label(rows: list[tuple[int | None, bool, np.ndarray]]) -> Iterator[tuple]:
-        nearest, cosines = model.predict(np.vstack([counts for *_, counts in rows]))
-        for (doc_id, lettered, _), k, cosine in zip(rows, nearest, cosines, strict=True):
+        every = np.vstack([counts for *_, counts in rows])
+        nearest, cosines = model.predict(every)
+        near = model.near(every, nearest, cosines)
+        for (doc_id, lettered, _), k, cosine, kept in zip(rows, nearest, cosines, near, strict=True):
             if not lettered:
                 yield doc_id, UNDETERMINED, 0.0, True
             else:
-                yield doc_id, model.languages[k], float(cosine), bool(cosine < model.floors[k])
+                yield doc_id, model.languages[k], float(cosine), not bool(kept)
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
@@ -193,9 +208,8 @@ def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
             )
             for a in range(0, batch.num_rows, 128):
                 own = list(vectors(plain.slice(a, 128)))
-                nearest, cosines = model.predict(np.vstack([counts for *_, counts in own]))
-                near = cosines >= model.floors[nearest]
-                kept = near & np.array([lettered for _, lettered, _ in own])
+                every = np.vstack([counts for *_, counts in own])
+                kept = model.near(every, *model.predict(every)) & np.array([lettered for _, lettered, _ in own])
                 yield batch.slice(a, len(own)).filter(pa.array(kept))
 
     return docs.mapInArrow(keep, docs.schema)
