@@ -7,6 +7,15 @@ from pyspark.sql import functions as F
 
 from skymart.cluster import settle
 
+#: Rows of labels and links are so narrow against documents that a partition takes several times more.
+NARROW = 4
+
+
+def settle_narrow(df: DataFrame) -> DataFrame:
+    """settle() into fewer partitions, so that each shuffle of the rows leaves fewer files."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return settle(df.coalesce(max(2, partitions // NARROW)))
+
 
 def contracted(
     labels: DataFrame, links: DataFrame, waiting: DataFrame | None
@@ -22,7 +31,7 @@ def contracted(
     ends = ends.withColumnsRenamed({"a": "b", "u": "v"})
     edges = edges.join(ends, "b").filter("u <> v").select("u", "v")
     edges = edges.union(waiting) if waiting is not None else edges
-    return _round(labels, settle(edges.distinct()))
+    return _round(labels, settle_narrow(edges.distinct()))
 
 
 def _round(labels: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -33,7 +42,8 @@ def _round(labels: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     vp = parents.select(F.col("u").alias("v"), F.col("parent").alias("q"))
     left = edges.join(up, "u").join(vp, "v").filter("p <> q")
     left = left.select(F.col("p").alias("u"), F.col("q").alias("v")).distinct()
-    return settle(moved.select("node", F.coalesce("parent", "label").alias("label"))), settle(left)
+    labels = moved.select("node", F.coalesce("parent", "label").alias("label"))
+    return settle_narrow(labels), settle_narrow(left)
 
 
 def merged(labels: DataFrame, waiting: DataFrame) -> DataFrame:

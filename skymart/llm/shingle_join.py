@@ -38,7 +38,7 @@ from pyspark.sql.window import Window
 from skymart.cluster import settle, ship
 from skymart.llm import tokens
 from skymart.llm.arrow import arrow_schema, doc_texts, map_rows
-from skymart.llm.components import contracted, merged
+from skymart.llm.components import contracted, merged, settle_narrow
 
 WORDS = 5
 #: Least Jaccard similarity of a link, in percent.
@@ -391,20 +391,20 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _components(lists: DataFrame, sets: DataFrame) -> DataFrame:
     """node and label: sets of one component have one label."""
-    labels = settle(sets.select("node", F.col("node").alias("label")))
-    lists, number, links = settle(lists), 0, None
+    labels = settle_narrow(sets.select("node", F.col("node").alias("label")))
+    lists, number, links = settle_narrow(lists), 0, None
     while True:
         large = number < len(LARGE_PIVOTS)
         pivots = LARGE_PIVOTS[number] if large else SMALL_PIVOTS
         sizes = labels.groupBy("label").agg(F.count("*").alias("weight"))
-        live = lists.join(labels.join(sizes, "label"), "node")
+        live = settle_narrow(lists.join(labels.join(sizes, "label"), "node"))
         spans = live.groupBy("list").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         weight = F.desc("weight") if large else F.asc("weight")
         order = (weight, F.xxhash64("node", F.lit(number)), "node")
         rank = F.row_number().over(Window.partitionBy("list").orderBy(*order))
         heads = live.withColumn("rank", rank).filter(F.col("rank") <= pivots)
         heads = heads.join(spans.filter("low < high"), "list", "left_semi")
-        heads = settle(
+        heads = settle_narrow(
             heads.select("list", *[F.col(c).alias(f"p_{c}") for c in ("node", "size", "place", "label")])
         )
         if heads.isEmpty():
@@ -415,10 +415,10 @@ def _components(lists: DataFrame, sets: DataFrame) -> DataFrame:
             .select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"))
             .distinct()
         )
-        labels, links = contracted(labels, _links(settle(pairs), sets), links)
+        labels, links = contracted(labels, _links(settle_narrow(pairs), sets), links)
         open_lists = lists.join(heads.select("list").distinct(), "list", "left_semi")
         done = heads.select("list", F.col("p_node").alias("node"))
-        lists = settle(open_lists.join(done, ["list", "node"], "left_anti"))
+        lists = settle_narrow(open_lists.join(done, ["list", "node"], "left_anti"))
         number += 1
 
 
