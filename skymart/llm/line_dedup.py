@@ -121,15 +121,16 @@ def _candidates(lines: DataFrame) -> DataFrame:
         "h", "line", "size", F.encode("line", "UTF-32").alias("wide")
     )
     letters, line = _signature(F.col("line")), (F.col("wide"), F.col("size"))
-    # Each side makes its own keys and drops equal lines before it multiplies them.
+    # Each side makes its own keys and drops equal lines before it multiplies them. The outer forms of
+    # explode keep Spark from testing the arrays in a filter below, which would make them twice.
     index = wide.select(
         F.col("h").alias("b"), letters.alias("of_b"), _index_keys(*line).alias("keys")
     ).distinct()
-    index = index.select("b", "of_b", F.explode("keys").alias("key"))
+    index = index.select("b", "of_b", F.explode_outer("keys").alias("key"))
     probe = wide.select(
         F.col("h").alias("a"), letters.alias("of_a"), _probe_keys(*line).alias("keys")
     ).distinct()
-    probe = probe.select("a", "of_a", F.posexplode("keys").alias("place", "key"))
+    probe = probe.select("a", "of_a", F.posexplode_outer("keys").alias("place", "key"))
     equal = sum(missing == 0 for missing, *_ in _probes())
     probe = probe.withColumn("longer", F.col("place") >= equal)
     # Lines of equal length find each other; one of the two pairs is enough.
