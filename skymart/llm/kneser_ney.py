@@ -97,7 +97,7 @@ def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys, sorted, and the sums of their values."""
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
-    begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]][: len(keys)]))
+    begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
     if not len(begins):
         return keys, *values
     return keys[begins], *(np.add.reduceat(v[order], begins) for v in values)

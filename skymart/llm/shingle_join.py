@@ -118,7 +118,7 @@ def _emit(shard_bits: int, chunk_docs: int):
             owner = np.repeat(np.arange(len(sets)), sizes)
             order = np.argsort(every)
             every, owner = every[order], owner[order]
-            begins = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]][: len(every)]))
+            begins = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])[: len(every)])
             times = np.diff(np.append(begins, len(every)))
             many = np.repeat(times > 1, times)
             shared = np.bincount(owner[many], minlength=len(sets))

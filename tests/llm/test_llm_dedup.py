@@ -8,6 +8,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from skymart.llm import exact_dedup, line_dedup, shingle_join
 
 
@@ -97,6 +98,32 @@ def test_near_duplicates_in_a_large_group(spark, monkeypatch):
     assert sorted(found, key=key) == components(rows)
 
 
+def test_near_duplicates_of_chunks_without_words(spark):
+    """Partitions of null and blank texts only, and an empty document left behind a full chunk."""
+    rows = [(i, None if i % 3 else " \n ", None) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(2)
+    found = [tuple(r) for r in shingle_join.near_duplicates(docs).collect()]
+    assert sorted(found, key=key) == [(i, 0, i) for i in range(6)]
+    rows = [(0, "one two", None), (1, "one two", None), (2, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    found = [tuple(r) for r in shingle_join.near_duplicates(docs, chunk_docs=2).collect()]
+    assert sorted(found, key=key) == components(rows)
+
+
+def test_pipeline_over_a_partition_of_copies(spark):
+    """Copies lose all their lines; a partition that holds nothing else has no words."""
+    body = [f"document {i} tells of river number {i * 7919}" for i in range(10)]
+    rows = [(i, body[i % 10], "s", 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    shorter = corpus_pipeline.lines(spark, docs, "").repartitionByRange(6, "doc_id")
+    parts = shorter.groupBy(F.spark_partition_id()).agg(F.max(F.length("text")).alias("most"))
+    assert 0 in {r.most for r in parts.collect()}
+    kept = corpus_pipeline.near_duplicates(spark, shorter, "")
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(
+        (r.doc_id, r.text) for r in shorter.collect()
+    )
+
+
 def test_one_of_each_keeps_columns(corpus):
     docs, rows = corpus
     kept = shingle_join.one_of_each(docs)

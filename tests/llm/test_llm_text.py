@@ -9,6 +9,7 @@ import re
 import string
 from collections import Counter
 
+import numpy as np
 import pytest
 from public_tokenizers import path
 from pyspark.sql import functions as F
@@ -166,6 +167,11 @@ def test_kneser_ney_equals_dictionaries(corpus, no_docs, monkeypatch):
     assert kneser_ney.score(no_docs, model).count() == 0
 
 
+def test_kneser_ney_sums_of_no_keys():
+    keys, sums = kneser_ney._summed(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    assert len(keys) == len(sums) == 0
+
+
 RULES = {
     "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
     "ip": (
