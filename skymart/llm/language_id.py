@@ -3,8 +3,9 @@
 A text becomes a TF-IDF vector of its byte bigrams and trigrams (lower case for A-Z, hashed to a
 fixed number of features, normalised to length 1). Each language has a few centroids, found by
 spherical k-means over its labelled texts; a text gets the language of the centroid with the
-largest cosine. A text much further from its nearest centroid than any text that its language was
-learned from is rejected, unless it is too short to be judged.
+largest cosine. A text further from its nearest centroid than nearly all held-out texts of its
+language and of its size is rejected. For that each half of a language's texts is judged by
+centroids of the other half, whole and in windows of growing length, as short texts lie far off.
 
 The model is fitted on the driver from at most PER_LANGUAGE vectors a language (a documented
 sample: the labelled texts with the smallest hashed doc_id). Predictions read every whole text.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +34,17 @@ CENTROIDS = 6
 OUTLIERS = 0.02
 ROUNDS = 8
 RANK_PARTS = 64
-#: A text is rejected below this part of the smallest cosine among its language's own texts.
-MARGIN = 0.5
-#: Texts with fewer n-grams (about twice their bytes) are too short to be rejected by distance.
-JUDGED_GRAMS = 400
+#: A text is rejected below MARGIN times this quantile of the held-out cosines of its size.
+LOW = 0.01
+MARGIN = 0.75
+#: Sizes at which that is taken (straight lines lie between; smaller texts can't be judged,
+#: larger ones are taken with the last), and held-out texts needed for one.
+SIZES = 2 ** np.arange(2, 10)
+FEW = 20
+#: Bytes of the held-out windows.
+WINDOWS = tuple(2**k for k in range(2, 13))
+#: A text's size is its distinct n-grams, but repeats count too up to this.
+REPEATS = 80
 UNDETERMINED = "und"
 #: Bytes of text worked on at a time; a longer text is counted piece by piece.
 PIECE = 1 << 18
@@ -73,7 +82,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Fitted centroids: one row each, with its language and the least cosine it accepts."""
+    """Fitted centroids: one row each, with its language and the least cosine it accepts at SIZES."""
 
     languages: list[str]
     centroids: np.ndarray
@@ -90,12 +99,20 @@ class Model:
         return nearest, np.clip(cosines[np.arange(len(nearest)), nearest], 0.0, 1.0)
 
     def near(self, counts: np.ndarray, nearest: np.ndarray, cosines: np.ndarray) -> np.ndarray:
-        """Whether each row is near enough to its centroid, or too short to be judged."""
-        return (cosines >= self.floors[nearest]) | (counts.sum(axis=1) < JUDGED_GRAMS)
+        """Whether each row is near enough to its centroid for its size."""
+        sized = zip(_sizes(counts), nearest, strict=True)
+        least = [np.interp(x, SIZES, self.floors[k], left=0.0) for x, k in sized]
+        # A few n-grams over and over are no language: no window holds so few.
+        told = ((counts > 0).sum(axis=1) >= SIZES[0]) | (counts.sum(axis=1) < REPEATS)
+        return told & (cosines >= np.array(least))
 
 
-def _cluster(rows: np.ndarray) -> tuple[np.ndarray, float]:
-    """Spherical k-means: centroids, and the least cosine of a row.
+def _sizes(counts: np.ndarray) -> np.ndarray:
+    return np.maximum((counts > 0).sum(axis=1), np.minimum(counts.sum(axis=1), REPEATS))
+
+
+def _cluster(rows: np.ndarray) -> np.ndarray:
+    """Centroids by spherical k-means.
 
     It begins with the mean; each next centroid is a row far from those before, but for the OUTLIERS.
     """
@@ -107,7 +124,42 @@ def _cluster(rows: np.ndarray) -> tuple[np.ndarray, float]:
         nearest = (rows @ centroids.T).argmax(axis=1)
         sums = [rows[nearest == k].sum(axis=0) for k in range(len(centroids))]
         centroids = _unit(np.vstack([s for s in sums if s.any()]))
-    return centroids, float((rows @ centroids.T).max(axis=1).min())
+    return centroids
+
+
+def _windows(piece: bytes) -> Iterator[np.ndarray]:
+    """The counts of one window of each length, at a place that depends on the text only."""
+    place = crc32(piece)
+    for size in WINDOWS:
+        if size < len(piece):
+            at = place % (len(piece) - size + 1)
+            yield _counts(np.frombuffer(piece[at : at + size], np.uint8))
+
+
+def _floors(counts: np.ndarray, pieces: list[bytes], idf: np.ndarray) -> np.ndarray:
+    """The least cosine accepted at SIZES, from texts that the centroids don't know.
+
+    Equal texts are in one half. A size with few held-out texts has the floor of the one below.
+    """
+    names: dict[bytes, int] = {}
+    half = np.array([names.setdefault(row.tobytes(), len(names)) % 2 for row in counts])
+    floors = np.zeros(len(SIZES))
+    if len(names) < 2:
+        return floors
+    sizes, cosines = [], []
+    for k in (0, 1):
+        centroids = _cluster(_unit(np.log1p(counts[half != k]) * idf))
+        for i in np.flatnonzero(half == k):
+            judged = np.vstack([counts[i], *_windows(pieces[i])])
+            sizes.append(_sizes(judged))
+            cosines.append((_unit(np.log1p(judged) * idf) @ centroids.T).max(axis=1))
+    sizes, cosines = np.concatenate(sizes), np.concatenate(cosines)
+    last = 0.0
+    for place, size in enumerate(SIZES):
+        near = cosines[(sizes > size / 2) & ((sizes < size * 2) | (size == SIZES[-1]))]
+        last = MARGIN * float(np.quantile(near, LOW)) if len(near) >= FEW else last
+        floors[place] = last
+    return np.minimum.accumulate(floors[::-1])[::-1]
 
 
 def fit(docs: DataFrame, labelled: Column) -> Model | None:
@@ -132,12 +184,14 @@ def fit(docs: DataFrame, labelled: Column) -> Model | None:
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            for lang, (doc_id, _, counts) in zip(
-                batch.column("lang").to_pylist(), vectors(batch), strict=True
+            for lang, text, (doc_id, _, counts) in zip(
+                batch.column("lang").to_pylist(), batch.column("text"), vectors(batch), strict=True
             ):
-                yield lang, doc_id, counts.tobytes()
+                data = text.as_py().encode("utf-8", "replace")
+                at = crc32(data) % max(1, len(data) - WINDOWS[-1])
+                yield lang, doc_id, counts.tobytes(), data[at : at + WINDOWS[-1] + 1]
 
-    sample = map_rows(chosen, rows, "lang string, doc_id long, counts binary").collect()
+    sample = map_rows(chosen, rows, "lang string, doc_id long, counts binary, piece binary").collect()
     if not sample:
         return None
     sample.sort(key=lambda r: (r.lang, r.doc_id is None, r.doc_id or 0, r.counts))
@@ -147,10 +201,11 @@ def fit(docs: DataFrame, labelled: Column) -> Model | None:
     languages, centroids, floors = [], [], []
     names = np.array([r.lang for r in sample], dtype=object)
     for lang in sorted(set(names)):
-        own, least = _cluster(weighed[names == lang])
+        own = _cluster(weighed[names == lang])
         languages += [lang] * len(own)
         centroids.append(own)
-        floors += [least * MARGIN] * len(own)
+        pieces = [bytes(r.piece) for r in sample if r.lang == lang]
+        floors += [_floors(counts[names == lang], pieces, idf)] * len(own)
     return Model(languages, np.vstack(centroids).astype(np.float32), np.array(floors), idf)
 
 

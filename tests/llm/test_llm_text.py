@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import math
 import random
@@ -125,6 +126,39 @@ def test_language_of_held_out_texts(labelled, no_docs):
     assert language_id.predict(no_docs, model).count() == 0
 
 
+FINNISH = (
+    "Suomen kieli kuuluu uralilaisten kielten ryhmään ja sitä puhuu noin viisi miljoonaa ihmistä. "
+    "Talvella järvet jäätyvät ja lapset luistelevat, kesällä perheet matkustavat mökille uimaan. "
+)
+GREEK = "Η ελληνική γλώσσα είναι μία από τις παλαιότερες της Ευρώπης και μιλιέται από εκατομμύρια. "
+
+
+def test_language_rejects_what_is_none(spark):
+    """Gibberish and languages that were not learned go; clean texts of any length stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held_out = language_id.remainder(F.col("doc_id"), 4) == 2
+    model = language_id.fit(docs, ~held_out)
+    draw = random.Random(6)
+    letters = lambda n: "".join(draw.choice(string.ascii_lowercase) for _ in range(n))
+    odd = [
+        base64.b64encode(draw.randbytes(3000)).decode(), draw.randbytes(2000).hex(), letters(4000),
+        " ".join(letters(draw.randrange(2, 10)) for _ in range(700)), FINNISH, GREEK, "x" * 5000,
+        FINNISH * 20, base64.b64encode(draw.randbytes(90_000)).decode(), letters(150),
+        base64.b64encode(draw.randbytes(90)).decode(),
+    ]
+    clean = [r.text for r in docs.filter(held_out & F.col("text").rlike(r"\p{L}")).collect()]
+    long = [" ".join(t for t in clean[i::10]) for i in range(10)]
+    cut = [t[:60] for t in clean if len(t) > 600]
+    groups = {"odd": odd, "clean": clean, "long": long, "cut": cut}
+    rows = [(i, t, g) for g, texts in groups.items() for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    accepted = language_id.accepted(frame, model).collect()
+    kept = Counter(r.source for r in accepted)
+    assert [r.text[:40] for r in accepted if r.source == "odd"] == []
+    assert kept["long"] == len(long)
+    assert kept["clean"] >= 0.98 * len(clean) and kept["cut"] >= 0.98 * len(cut)
+
+
 def test_kneser_ney_equals_dictionaries(corpus, no_docs, monkeypatch):
     monkeypatch.setattr(kneser_ney, "COUNT_TOKENS", 300)
     monkeypatch.setattr(kneser_ney, "SCORE_TOKENS", 200)
