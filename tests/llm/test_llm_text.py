@@ -257,3 +257,22 @@ def test_personal_data_holds_the_rules(spark, no_docs):
     assert pair == "card:4:20,card:21:37"
     assert personal_data.fit(no_docs) is None
     assert personal_data.find(no_docs, None).count() == 0
+
+
+def test_rare_kind_beside_a_hot_one(spark):
+    """A few cards among many addresses are found as on a small table; so they are without decoys."""
+    pair = "pay 4111111111111111 4111111111111111 now"
+    text = " ".join(f"u{i}@x{i}.com" for i in range(30))
+    hot = [(i, text) for i in range(1000)] + [(-1, pair), (-2, "a@b 10.0.0.999")]
+    for rows in (hot, [(-1, pair)]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        found = personal_data.find(docs, personal_data.fit(docs))
+        spans = {r.doc_id: r.spans for r in personal_data.digests(found).collect()}
+        assert spans[-1] == "card:4:20,card:21:37"
+
+
+def test_thresholds_of_few_candidates():
+    assert personal_data._threshold([]) == 0.0
+    right = [(1.0, 1.0, 1.0)] * 50
+    assert personal_data._threshold([*right, (-1.0, 0.0, 9.0)]) == 1.0
+    assert personal_data._threshold([*right, (1.0, 0.0, 9.0)]) == float("inf")
