@@ -276,3 +276,20 @@ def test_thresholds_of_few_candidates():
     right = [(1.0, 1.0, 1.0)] * 50
     assert personal_data._threshold([*right, (-1.0, 0.0, 9.0)]) == 1.0
     assert personal_data._threshold([*right, (1.0, 0.0, 9.0)]) == float("inf")
+
+
+def test_numbers_inside_longer_runs(spark):
+    """Every start and end of a group of digits is tried where a whole run fails its check."""
+    cases = {
+        "3782 822463 10005 3782 822463 10005": "card:0:17,card:18:35",
+        "😀 3782-822463-10005 12345": "card:2:19",
+        "tel +4930123456 20240115": "phone:4:15",
+        "+33 1 23 45 67 89 20240115": "phone:0:17",
+        "1234 5678 1234 5678 1234 5671": "",
+    }
+    rows = list(enumerate(cases))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    corpus = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for scorer in (personal_data.fit(docs), personal_data.fit(corpus)):
+        found = personal_data.digests(personal_data.find(docs, scorer)).collect()
+        assert {rows[r.doc_id][1]: r.spans for r in found} == cases
