@@ -13,7 +13,10 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-TABLES = "region nation customer supplier part orders lineitem".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages"
+    " benchmark labels conversations"
+).split()
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
