@@ -244,16 +244,20 @@ def _repeats(table: str, column: str) -> str:
     )
 
 
+# The columns that each table must have.
 _NOT_NULL = {
-    "stg_flights": "flight_id fl_date reporting_airline origin dest",
-    "stg_airlines": "iata_code carrier_name",
-    "stg_airports": "iata_code airport_name",
-    "int_flights_enriched": "flight_id fl_date reporting_airline carrier_name origin "
-    "origin_airport_name dest dest_airport_name",
-    "mart_carrier_performance": "carrier_name reporting_airline flight_month total_flights",
-    "mart_airport_performance": "iata_code airport_name total_departures airport_rank",
-    "mart_delay_analysis": "delay_label primary_delay_cause flight_count",
-    "mart_route_analysis": "route carrier_name total_flights",
+    "stg_flights": ("flight_id", "fl_date", "reporting_airline", "origin", "dest"),
+    "stg_airlines": ("iata_code", "carrier_name"),
+    "stg_airports": ("iata_code", "airport_name"),
+    "int_flights_enriched": (
+        "flight_id", "fl_date", "reporting_airline", "carrier_name", "origin", "origin_airport_name", "dest", "dest_airport_name",
+    ),
+    "mart_carrier_performance": (
+        "carrier_name", "reporting_airline", "flight_month", "total_flights",
+    ),
+    "mart_airport_performance": ("iata_code", "airport_name", "total_departures", "airport_rank"),
+    "mart_delay_analysis": ("delay_label", "primary_delay_cause", "flight_count"),
+    "mart_route_analysis": ("route", "carrier_name", "total_flights"),
 }
 _LABELS = "'On Time', 'Minor Delay', 'Moderate Delay', 'Significant Delay', 'Severe Delay'"
 _ACCEPTED = (
@@ -299,8 +303,56 @@ _UNION = " union all "
 
 _FLIGHT_COLUMNS = ", ".join(f.name for f in schema.FLIGHT_FIELDS)
 
+
+def _lacks(column: str) -> str:
+    """Whether a flight's file has no such column."""
+    return f"month(fl_date) % {fixture.LAYOUTS} = 2" if column in fixture.LACKING else "false"
+
+
+def _loaded_columns() -> str:
+    return ", ".join(
+        f"case when not ({_lacks(f.name)}) then {f.name} end as {f.name}" for f in schema.FLIGHT_FIELDS
+    )
+
+
+def _profile() -> str:
+    """Per column: flights, missing ones, and those that the fixture planted."""
+    planted = {column: (value, every) for column, value, every in fixture.PLANTED}
+
+    def of(field: schema.Field) -> str:
+        value, every = planted.get(field.name, ("", 0))
+        here = f"flight_id % {every} = 0" if every else "false"
+        long = bool(field.max_length) and len(value) > field.max_length
+        return (
+            f"select '{field.name}' as column_name, count(*) as rows, "
+            f"count(*) filter (({field.name} is null and not ({here})) or {_lacks(field.name)}) as missing, "
+            f"count(*) filter ({here if not long else 'false'}) as unparsable, "
+            f"count(*) filter ({here if long else 'false'}) as too_long, "
+            f"count(*) filter ({_lacks(field.name)}) as lacking_rows, true as sized from flight_raw"
+        )
+
+    return " union all ".join(of(field) for field in schema.FLIGHT_FIELDS)
+
 _QUERIES: dict[str, str] = {
-    "load_flights": f"select {_FLIGHT_COLUMNS} from flight_raw",
+    "load_flights": f"select {_loaded_columns()} from flight_raw",
+    "load_zipped_flights": f"select {_FLIGHT_COLUMNS} from flight_raw",
+    "load_metadata": "select count(*) as flights, count(*) as stamped, count(*) as named from flight_raw",
+    "profile_flights": _profile(),
+    "surrogate_keys": """
+        select count(*) as flights, 1::bigint as first_id, count(*) as last_id, count(*) as ids
+        from flight_raw""",
+    "load_manifest": """
+        select rows, (last_id - rows + 1)::bigint as first_id, last_id, true as committed
+        from (
+            select third, rows, sum(rows) over (order by third)::bigint as last_id
+            from (select month(fl_date) % 3 as third, count(*) as rows from flight_raw group by 1)
+        )
+        union all select null, null, null, false""",
+    "reloaded_flights": """
+        select source_file, count(*) as flights,
+               nullif(count(*) filter (fl_date between date '1995-01-01' and date '1995-01-31'), 0)
+                   as found_by_date
+        from flight_raw group by source_file""",
     "load_airports": f"""
         select trim(iata_code) as iata_code, nullif(icao_code, '') as icao_code, airport_name,
                city, country, latitude, longitude, altitude, timezone, dst
@@ -320,6 +372,13 @@ _QUERIES: dict[str, str] = {
         "arr_delay_minutes, is_cancelled, is_diverted, is_delayed_departure, is_delayed_arrival"
     ),
     "route_concat": _flights("origin, dest, route"),
+    "route_missing_end": """
+        select *, origin || '-' || dest as route
+        from (
+            select flight_id, case when flight_id % 50 <> 0 then origin end as origin,
+                   case when flight_id % 70 <> 0 then dest end as dest
+            from flight_raw
+        )""",
     "us_state_from_city": "select iata_code, city, country, us_state from stg_airports",
     "rounded_coordinates": "select iata_code, latitude, longitude from stg_airports",
     "distance_bucket": _enriched("distance, distance_bucket"),
@@ -332,6 +391,14 @@ _QUERIES: dict[str, str] = {
     ),
     "join_cancellation": _enriched("cancellation_code, cancellation_reason"),
     "join_delay_range": _enriched("arr_delay_minutes, delay_label"),
+    "join_many_ranges": """
+        select c_custkey, c_acctbal::double as balance, s_suppkey
+        from customer left join (
+            select s_suppkey, case when s_suppkey % 17 <> 0 then s_acctbal::double end as low,
+                   case when s_suppkey % 19 <> 0
+                        then s_acctbal::double + (s_suppkey % 13) * 7.25::double end as high
+            from supplier
+        ) on (low is null or c_acctbal::double >= low) and (high is null or c_acctbal::double <= high)""",
     "int_flights_enriched": "select * from int_flights_enriched",
     "departures_arrivals": (
         "select iata_code, total_departures, total_arrivals from mart_airport_performance"
@@ -467,7 +534,7 @@ _QUERIES: dict[str, str] = {
     "check_not_null": _UNION.join(
         _violations("not_null", table, column, f"{column} is null")
         for table, columns in _NOT_NULL.items()
-        for column in columns.split()
+        for column in columns
     ),
     "check_accepted_values": _UNION.join(
         _violations("accepted_values", table, column, f"{column} not in ({values})")
@@ -509,5 +576,5 @@ def oracle_sql() -> dict[str, str]:
     out = {}
     for query, sql in _QUERIES.items():
         ctes = ",\n".join(f"{name} as ({_CTES[name]})" for name in _needed(sql))
-        out[query] = f"with {ctes}\n{sql}"
+        out[query] = f"with {ctes}\n{sql}" if ctes else sql
     return out

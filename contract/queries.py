@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,10 +14,11 @@ from contract import fixture
 from skymart import schema
 from skymart.functions import exact
 from skymart.functions import flights as fn
-from skymart.operators import aggregates, checks
-from skymart.plans import enriched, marts, reports, staging
+from skymart.operators import aggregates, checks, lookups
+from skymart.plans import enriched, marts, pipeline, reports, staging
+from skymart.sources import archives, lookup_files
 from skymart.sources import flight_files as readers
-from skymart.sources import lookup_files
+from skymart.sources.warehouse import Warehouse
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -193,11 +195,95 @@ def _check(kind: str) -> Callable[[Inputs], DataFrame]:
 
 
 def _loaded_flights(t: Inputs) -> DataFrame:
-    """The flights after a round trip through CSV files."""
-    loaded = readers.read_flights(t.spark, [fixture.flight_files(t.spark, t.sf_dir)])
+    """The flights after a round trip through CSV files of several layouts."""
+    loaded = readers.read_flights(t.spark, fixture.flight_files(t.spark, t.sf_dir))
     return loaded.drop("ingested_at", "source_file")
 
 
+def _load_metadata(t: Inputs) -> DataFrame:
+    loaded = readers.read_flights(t.spark, fixture.flight_files(t.spark, t.sf_dir))
+    return loaded.agg(
+        exact.row_count().alias("flights"),
+        F.count("ingested_at").alias("stamped"),
+        F.count_if(_c("source_file").rlike("^part-.*[.]csv$")).alias("named"),
+    )
+
+
+def _loaded_archives(t: Inputs) -> DataFrame:
+    folder = fixture.zipped_flight_files(t.spark, t.sf_dir)
+    return archives.read_zipped_csv(t.spark, [folder]).drop("ingested_at", "source_file")
+
+
+def _profiled_flights(t: Inputs) -> DataFrame:
+    """What the profile finds in files with planted values, over all files of a column."""
+    found = readers.profiled(t.spark, fixture.flight_files(t.spark, t.sf_dir, planted=True))
+    figures = [F.sum(c).alias(c) for c in ("rows", "missing", "unparsable", "too_long")]
+    lacking = F.coalesce(F.sum(F.when(~_c("present"), _c("rows"))), F.lit(0))
+    return found.groupBy("column_name").agg(
+        *figures, lacking.alias("lacking_rows"), (F.min("bytes") > 0).alias("sized")
+    )
+
+
+def _three_loads(t: Inputs) -> Warehouse:
+    """A warehouse after three loads by month, and a fourth that was staged but never published."""
+    warehouse = fixture.warehouse(t.spark)
+    flights = t.raw.drop("flight_id")
+    for third in range(3):
+        pipeline.store_flights(warehouse, flights.filter(F.month("fl_date") % 3 == third))
+    pipeline.stage_flights(warehouse, flights.filter(F.month("fl_date") == 1))
+    return warehouse
+
+
+def _surrogate_keys(t: Inputs) -> DataFrame:
+    key = _c("flight_id")
+    return _three_loads(t).read("staging", "flight_raw").agg(
+        exact.row_count().alias("flights"),
+        F.min(key).alias("first_id"),
+        F.max(key).alias("last_id"),
+        F.count_distinct(key).alias("ids"),
+    )
+
+
+def _load_manifest(t: Inputs) -> DataFrame:
+    return _three_loads(t).loads("staging", "flight_raw").drop("load", "path", "bytes")
+
+
+def _reloaded_flights(t: Inputs) -> DataFrame:
+    """flight_raw after its first files were loaded twice, and a mart refreshed on it."""
+    warehouse = _three_loads(t)
+    again = t.raw.drop("flight_id").filter(F.month("fl_date") % 3 == 0)
+    pipeline.store_flights(warehouse, again)
+    january = pipeline.flights_between(warehouse, date(1995, 1, 1), date(1995, 1, 31))
+    flights = warehouse.read("staging", "flight_raw").groupBy("source_file")
+    counts = flights.agg(exact.row_count().alias("flights"))
+    found = january.groupBy("source_file").agg(exact.row_count().alias("found_by_date"))
+    return counts.join(found, "source_file", "left")
+
+
+def _many_ranges(t: Inputs) -> DataFrame:
+    """Customers in overlapping ranges with gaps, fractions and open ends, one for each supplier."""
+    read = lambda name: t.spark.read.parquet(f"{t.sf_dir}/{name}.parquet")
+    values = read("customer").select("c_custkey", _c("c_acctbal").cast("double").alias("balance"))
+    low, key = _c("s_acctbal").cast("double"), _c("s_suppkey")
+    ranges = read("supplier").select(
+        key.alias("s_suppkey"),
+        F.when(key % 17 != 0, low).alias("low"),
+        F.when(key % 19 != 0, low + (key % 13) * 7.25).alias("high"),
+    )
+    return lookups.range_lookup(values, ranges, "balance", "low", "high")
+
+
+def _open_routes(t: Inputs) -> DataFrame:
+    """Routes of flights of which some lack an end."""
+    key = _c("flight_id")
+    ends = t.raw.select(
+        key,
+        F.when(key % 50 != 0, _c("origin")).alias("origin"),
+        F.when(key % 70 != 0, _c("dest")).alias("dest"),
+    )
+    return ends.withColumn("route", fn.route(_c("origin"), _c("dest")))
+
+
 def _loaded_airports(t: Inputs) -> DataFrame:
     raw = fixture.airport_raw(t.spark, t.sf_dir)
     folder = fixture.lookup_file(t.spark, raw, schema.AIRPORT_FILE_COLUMNS)
@@ -213,6 +299,12 @@ def _loaded_airlines(t: Inputs) -> DataFrame:
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     # files
     "load_flights": _loaded_flights,
+    "load_zipped_flights": _loaded_archives,
+    "load_metadata": _load_metadata,
+    "profile_flights": _profiled_flights,
+    "surrogate_keys": _surrogate_keys,
+    "load_manifest": _load_manifest,
+    "reloaded_flights": _reloaded_flights,
     "load_airports": _loaded_airports,
     "load_airlines": _loaded_airlines,
     # cleaned views and single derived columns
@@ -227,6 +319,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         "is_delayed_arrival",
     ),
     "route_concat": _per_flight("origin", "dest", "route"),
+    "route_missing_end": _open_routes,
     "us_state_from_city": lambda t: t.airports.select("iata_code", "city", "country", "us_state"),
     "rounded_coordinates": lambda t: t.airports.select("iata_code", "latitude", "longitude"),
     "distance_bucket": _per_enriched("distance", "distance_bucket"),
@@ -250,6 +343,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "join_delay_range": lambda t: enriched.with_delay_label(t.flights, t.categories).select(
         "flight_id", "arr_delay_minutes", "delay_label"
     ),
+    "join_many_ranges": _many_ranges,
     "int_flights_enriched": lambda t: t.enriched,
     "departures_arrivals": _departures_arrivals,
     # marts

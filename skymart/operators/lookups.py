@@ -8,14 +8,18 @@ ranges in bins that are as wide as the range, then facts meet their value.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skymart.cluster import settle
+
 BROADCAST_ROWS = 200_000
 BROADCAST_RANGES = 64
 #: A range lies in bins of the width BIN_WIDTH * BIN_GROWTH**n that make it touch few of them.
 BIN_WIDTH = 60
 BIN_GROWTH = 8
+#: Bins reach so far; what lies beyond, infinity too, falls into the last ones.
+_FARTHEST = 1e300
 
 
 def within(df: DataFrame, rows: int) -> bool:
@@ -45,32 +49,48 @@ def range_lookup(
 ) -> DataFrame:
     """Left outer join on ``value`` between ``low`` and ``high``, both ends included.
 
-    Overlapping ranges repeat the fact; a value in no range gets NULLs. Many ranges are put, each
-    with its width's bins, into at most BIN_GROWTH + 1 bins whatever their width; each distinct
-    value looks into its bin of every width that occurs.
+    A null bound is an open end. Overlapping ranges repeat the fact; a value in no range, a null
+    or NaN gets NULLs. Many ranges are put, each with its width's bins, into at most BIN_GROWTH + 1
+    bins whatever their width; each distinct value looks into its bin of every width that occurs.
+    Bins only find candidates: values meet the bounds as they are.
     """
-    inside = F.col(value).between(F.col(low), F.col(high))
+
+    def meets(column: str) -> Column:
+        own = F.col(column)
+        above = own >= F.coalesce(F.col(low), own)
+        return above & (own <= F.coalesce(F.col(high), own)) & ~F.isnan(own.cast("double"))
+
+    def finite(column: Column) -> Column:
+        near = F.greatest(F.least(column.cast("double"), F.lit(_FARTHEST)), F.lit(-_FARTHEST))
+        return F.when(column.isNotNull(), near)
+
     if within(ranges, max_broadcast):
-        return facts.join(F.broadcast(ranges), inside, "left").drop(low, high)
+        return facts.join(F.broadcast(ranges), meets(value), "left").drop(low, high)
 
-    widest = (F.col(high) - F.col(low)).cast("double") / bin_width
+    values = facts.select(F.col(value).alias("_value")).distinct()
+    values = settle(values.filter(~F.isnan(F.col("_value").cast("double"))))
+    at = finite(F.col("_value"))
+    ends = values.agg(F.min(at).alias("least"), F.max(at).alias("most")).first()
+    # No range needs bins beyond the values; so an open or endless one has few.
+    least, most = (F.lit(x if x is not None else 0.0) for x in (ends.least, ends.most))
+    begin = F.greatest(F.coalesce(finite(F.col(low)), least), least)
+    end = F.least(F.coalesce(finite(F.col(high)), most), most)
+    widest = (F.col("_end") - F.col("_begin")) / bin_width
     level = F.ceil(F.log(float(BIN_GROWTH), F.greatest(widest, F.lit(1.0))))
 
-    def bin_of(column: str):
+    def bin_of(column: Column) -> Column:
         width = F.lit(float(bin_width)) * F.pow(F.lit(float(BIN_GROWTH)), F.col("_level"))
-        return F.floor(F.col(column) / width)
+        return F.floor(column / width)
 
-    wide = ranges.select(*[F.col(c).cast("long").alias(c) if c in (low, high) else c for c in ranges.columns])
-    wide = wide.filter(F.col(low) <= F.col(high)).withColumn("_level", level)
-    binned = wide.withColumn("_bin", F.explode(F.sequence(bin_of(low), bin_of(high))))
-    levels = [r["_level"] for r in binned.select("_level").distinct().collect()]
-    values = facts.select(F.col(value).alias("_value")).filter(F.col("_value").isNotNull()).distinct()
+    met = ranges.withColumns({"_begin": begin, "_end": end}).filter("_begin <= _end")
+    met = met.withColumn("_level", level)
+    binned = met.withColumn("_bin", F.explode(F.sequence(bin_of(F.col("_begin")), bin_of(F.col("_end")))))
+    binned = binned.drop("_begin", "_end")
+    levels = [r["_level"] for r in met.select("_level").distinct().collect()]
     every = F.array(*map(F.lit, levels)).cast("array<long>")
-    probes = values.withColumn("_level", F.explode(every))
-    probes = probes.withColumn("_bin", bin_of("_value"))
-    found = (
-        probes.join(binned, ["_level", "_bin"])
-        .filter(F.col("_value").between(F.col(low), F.col(high)))
-        .drop("_level", "_bin", low, high)
-    )
+    probes = values.withColumn("_level", F.explode(every)).withColumn("_bin", bin_of(at))
+    found = probes.join(binned, ["_level", "_bin"]).filter(meets("_value"))
+    found = settle(found.drop("_level", "_bin", low, high))
+    if within(found, BROADCAST_ROWS):
+        found = F.broadcast(found)
     return facts.join(found, F.col(value) == F.col("_value"), "left").drop("_value")

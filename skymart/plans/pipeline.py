@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from skymart import schema
 from skymart.operators import checks
 from skymart.plans import enriched, marts, reports, staging
 from skymart.sources import archives, flight_files, lookup_files
-from skymart.sources.warehouse import FILE_KEY, Warehouse, numbered
+from skymart.sources.warehouse import FILE_KEY, LOAD, MONTH, Warehouse, month_of
 
 MARTS = {
     "mart_carrier_performance": marts.mart_carrier_performance,
@@ -23,38 +25,56 @@ SEEDS = {
 }
 
 
-def store_flights(warehouse: Warehouse, flights: DataFrame) -> DataFrame:
-    """Add typed flights to flight_raw; returns the rows stored per source file.
+def stage_flights(warehouse: Warehouse, flights: DataFrame, files: list[dict] | None = None):
+    """Write typed flights aside for flight_raw, with dense numbers; publish() makes them show.
 
-    A file that was loaded before, from the same path, is replaced, so that a repeated load changes
-    nothing; files of one name in different folders are kept apart by their file_key. Flights
-    without that column are told apart by their source_file. Only one load may run at a time.
+    Loads may be staged and published side by side; one that ends before it is published leaves
+    nothing but files that ``clean`` deletes. Flights without a file_key are told apart by their source_file.
     """
     if FILE_KEY not in flights.columns:
         flights = flights.withColumn(FILE_KEY, flight_files.file_key(F.col("source_file")))
-    last = 0
-    if warehouse.exists("staging", "flight_raw"):
-        known = warehouse.read("staging", "flight_raw").agg(F.max("flight_id").alias("last"))
-        last = known.first().last or 0
-    table = warehouse.replace_partitions(
-        numbered(flights, "flight_id", last), "staging", "flight_raw", by=FILE_KEY
-    )
-    new = table.filter(F.col("flight_id") > last)
+    flights = flights.withColumn(MONTH, month_of(F.col("fl_date")))
+    by = (FILE_KEY, "source_file", MONTH)
+    return warehouse.stage(flights, "staging", "flight_raw", *by, number="flight_id", files=files or [])
+
+
+def store_flights(
+    warehouse: Warehouse, flights: DataFrame, files: list[dict] | None = None
+) -> DataFrame:
+    """Add typed flights to flight_raw; returns the rows stored per source file.
+
+    A file that was loaded before, from the same path, is replaced, so that a repeated load changes
+    nothing but ids; files of one name in different folders are kept apart by their file_key.
+    flight_id goes on without a gap from the last load published before.
+    """
+    load = stage_flights(warehouse, flights, files)
+    load.publish()
+    new = warehouse.read("staging", "flight_raw", F.col(LOAD) == load.folder_name)
     return new.groupBy("source_file").agg(F.count(F.lit(1)).alias("total_rows"))
 
 
 def load_flights(warehouse: Warehouse, paths: list[str]) -> DataFrame:
+    files = flight_files.listed(warehouse.spark, paths)
     text = flight_files.read_text_columns(warehouse.spark, paths)
-    return store_flights(warehouse, flight_files.keyed(text))
+    return store_flights(warehouse, flight_files.keyed(text), files)
 
 
 def load_zipped_flights(warehouse: Warehouse, paths: list[str]) -> DataFrame:
+    files = flight_files.listed(warehouse.spark, paths)
     text = archives.read_zipped_text_columns(warehouse.spark, paths)
-    return store_flights(warehouse, flight_files.keyed(text))
+    return store_flights(warehouse, flight_files.keyed(text), files)
+
+
+def flights_between(warehouse: Warehouse, first: date, last: date) -> DataFrame:
+    """Stored flights from ``first`` to ``last``: only the files of those months are listed and read."""
+    months = F.col(MONTH).between(first.year * 100 + first.month, last.year * 100 + last.month)
+    days = F.col("fl_date").between(F.lit(first), F.lit(last))
+    return warehouse.read("staging", "flight_raw", months & days)
 
 
 def _store_lookup(warehouse: Warehouse, rows: DataFrame, name: str, key: str) -> DataFrame:
-    table = warehouse.replace(numbered(rows, key), "staging", name)
+    rows = warehouse.numbered(rows, "staging", name, key)
+    table = warehouse.replace(rows, "staging", name)
     return table.agg(F.count(F.lit(1)).alias("rows_loaded"))
 
 
@@ -74,39 +94,50 @@ def load_seeds(warehouse: Warehouse, **tables: DataFrame) -> None:
         warehouse.replace(tables.get(name, default(warehouse.spark)), "seeds", name)
 
 
-def staging_views(warehouse: Warehouse) -> dict[str, DataFrame]:
-    """The cleaned tables, also registered as temporary views of their names."""
+def staging_views(
+    warehouse: Warehouse, source_files: list[str] | None = None
+) -> dict[str, DataFrame]:
+    """The cleaned tables, also registered as temporary views of their names.
+
+    With ``source_files`` the flights are those of these files alone.
+    """
+    own = None if source_files is None else F.col("source_file").isin(source_files)
     views = {
-        "stg_flights": staging.stg_flights(warehouse.read("staging", "flight_raw")),
+        "stg_flights": staging.stg_flights(warehouse.read("staging", "flight_raw", own)),
         "stg_airlines": staging.stg_airlines(warehouse.read("staging", "airline_raw")),
         "stg_airports": staging.stg_airports(warehouse.read("staging", "airport_raw")),
     }
-    for name, view in views.items():
-        view.createOrReplaceTempView(name)
+    if source_files is None:
+        for name, view in views.items():
+            view.createOrReplaceTempView(name)
     return views
 
 
-def build_enriched(warehouse: Warehouse, source_files: list[str] | None = None) -> DataFrame:
-    """Enrich all stored flights, or only those of the given files.
-
-    The table has one partition per source file name, so a new month is enriched by itself and the
-    rows never move between tasks.
-    """
-    views = staging_views(warehouse)
-    flights = views["stg_flights"]
-    if source_files is not None:
-        flights = flights.filter(F.col("source_file").isin(source_files))
-    flights = enriched.int_flights_enriched(
-        flights,
+def enriched_flights(
+    warehouse: Warehouse, source_files: list[str] | None = None
+) -> DataFrame:
+    """The stored flights, or those of the given files, enriched."""
+    views = staging_views(warehouse, source_files)
+    return enriched.int_flights_enriched(
+        views["stg_flights"],
         views["stg_airlines"],
         views["stg_airports"],
         warehouse.read("seeds", "cancellation_codes"),
         warehouse.read("seeds", "delay_categories"),
     )
-    at = ("intermediate", "int_flights_enriched")
-    if source_files is None:
-        return warehouse.replace(flights, *at, "source_file")
-    return warehouse.replace_partitions(flights, *at, by="source_file")
+
+
+def build_enriched(warehouse: Warehouse, source_files: list[str] | None = None) -> DataFrame:
+    """Enrich all stored flights, or only those of the given files.
+
+    Raw and enriched flights are both partitioned by source file and month, so a new month is read
+    and enriched by itself and the rows never move between tasks.
+    """
+    flights = enriched_flights(warehouse, source_files)
+    flights = flights.withColumn(MONTH, month_of(F.col("fl_date")))
+    write = warehouse.replace if source_files is None else warehouse.replace_partitions
+    by = ("source_file", MONTH)
+    return write(flights, "intermediate", "int_flights_enriched", *by, hide=(MONTH,))
 
 
 def build_mart(warehouse: Warehouse, name: str) -> DataFrame:

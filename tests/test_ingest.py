@@ -247,7 +247,7 @@ def test_a_file_without_known_columns_is_an_error(spark, files):
         flight_files.read_flights(spark, [str(files)])
 
 
-def test_headers_take_no_jobs_and_equal_places_one_scan(spark, tmp_path):
+def test_headers_take_one_job_and_equal_places_one_scan(spark, tmp_path):
     for k in range(6):
         (tmp_path / f"{k}.csv").write_text(f"Origin_m{k},Dest\nA,B\n")
 
