@@ -12,13 +12,16 @@ their first character (and one more where there were some), which `read_back` ta
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from skymart.cluster import settle
+from skymart.llm.components import settle_narrow
 from skymart.operators.numbering import dense, placed
-from skymart.operators.skew import salted_lookup
+from skymart.operators.skew import heat, salted_lookup
 
 #: The marks of a turn. START role HEAD text END, turn after turn.
 START, HEAD, END = "<s>[INST] ", " [/INST]\n", "</s>\n"
@@ -70,29 +73,32 @@ def best_branches(links: DataFrame, keep: int = 1) -> DataFrame:
     own = settle(links.select(F.col("id").cast("long"), F.col("parent").cast("long"), "tree", score))
     total = own.count()
     ids = own.select(F.col("id").alias("known"), F.col("id").alias("up"))
-    state = salted_lookup(own, total, ids, "parent", "known", F.col("id"), "left")
-    state = state.select("id", "up", F.lit(1).cast("long").alias("size"), F.col("score").alias("sum"))
-    state, jumps = settle(state), []
-    while (open_ := state.filter("up is not null").count()) and len(jumps) <= total.bit_length():
-        moving = state.filter("up is not null")
+    first = salted_lookup(own, heat(own, "parent"), ids, "parent", "known", F.col("id"), "left")
+    one = F.lit(1).cast("long").alias("size")
+    state = settle_narrow(first.select("id", "up", one, F.col("score").alias("sum")))
+    # Messages whose way to the root is known, round by round, and those that look 2 ** round ahead.
+    done, moving, jumps = [state.filter("up is null")], state.filter("up is not null"), []
+    while (heated := heat(moving, "up")).rows and 1 << len(jumps) <= 2 * total:
         jumps.append(moving.select(F.col("id").alias("low"), F.col("up").alias("high")))
-        beyond = state.select(
+        beyond = reduce(DataFrame.union, done, moving).select(
             F.col("id").alias("known"), F.col("up").alias("upper"),
             F.col("size").alias("more"), F.col("sum").alias("more_sum"),
         )
-        moved = salted_lookup(moving, open_, beyond, "up", "known", F.col("id")).select(
+        moved = salted_lookup(moving, heated, beyond, "up", "known", F.col("id")).select(
             "id", F.col("upper").alias("up"),
             (F.col("size") + F.col("more")).alias("size"), (F.col("sum") + F.col("more_sum")).alias("sum"),
         )
-        state = settle(moved.unionByName(state.filter("up is null")))
+        state = settle_narrow(moved)
+        done.append(state.filter("up is null"))
+        moving = state.filter("up is not null")
     answered = own.select(F.col("parent").alias("id")).distinct()
-    leaves = state.filter("up is null").join(answered, "id", "left_anti")
+    leaves = reduce(DataFrame.union, done).join(answered, "id", "left_anti")
     leaves = leaves.join(own.select("id", "tree"), "id")
     mean = F.col("sum") / F.col("size")
     best = Window.partitionBy("tree").orderBy(F.desc("mean"), F.desc("size"), "id")
     chosen = leaves.select("tree", "id", "size", mean.alias("mean"))
     chosen = chosen.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= keep)
-    walk = settle(
+    walk = settle_narrow(
         chosen.select(
             "tree", F.col("id").alias("leaf"), "rank", "mean", "size",
             (F.col("size") - 1).alias("place"), "id",
@@ -101,11 +107,11 @@ def best_branches(links: DataFrame, keep: int = 1) -> DataFrame:
     for level in reversed(range(len(jumps))):
         step = 1 << level
         far = walk.filter(F.col("place") >= step)
-        if not (going := far.count()):
+        if not (heated := heat(far, "id")).rows:
             continue
-        more = salted_lookup(far, going, jumps[level], "id", "low", F.col("leaf"))
+        more = salted_lookup(far, heated, jumps[level], "id", "low", F.col("leaf"))
         more = more.withColumn("place", F.col("place") - step).withColumn("id", F.col("high"))
-        walk = settle(walk.unionByName(more.drop("high")))
+        walk = walk.union(settle_narrow(more.drop("high").select(*walk.columns)))
     return walk
 
 
@@ -124,14 +130,13 @@ def formatted(branches: DataFrame, bodies: DataFrame) -> DataFrame:
     stop, in code points of the text: what a model shall learn, the texts of LEARNED_ROLES. A
     conversation is one value, so it may have 2 GB.
     """
-    total = branches.count()
     known = bodies.select(
         F.col("id").alias("known"),
         escaped(F.coalesce("role", F.lit(""))).alias("role"),
         escaped(F.coalesce("text", F.lit(""))).alias("body"),
         F.coalesce("role", F.lit("")).isin(*LEARNED_ROLES).alias("learned"),
     )
-    turns = salted_lookup(branches, total, known, "id", "known", F.col("leaf"))
+    turns = salted_lookup(branches, heat(branches, "id"), known, "id", "known", F.col("leaf"))
     head = F.concat(F.lit(START), F.col("role"), F.lit(HEAD))
     turns = turns.withColumn("head", F.char_length(head).cast("long"))
     turns = turns.withColumn("chars", F.char_length("body").cast("long"))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from skymart.cluster import settle, ship
 from skymart.llm.arrow import arrow_schema, doc_columns, map_rows, packed
-from skymart.operators.skew import salted_lookup
+from skymart.operators.skew import heat, salted_lookup
 
 #: Fixed values of the contract: letters of a run, least length and occurrences, and times as frequent.
 LETTERS = "[A-Za-zÀ-ÿ]+"
@@ -400,7 +400,8 @@ def variants(words: DataFrame) -> DataFrame:
     while not moved.filter("moved").isEmpty():
         # Each round doubles the steps; a root that is no variant stays.
         ahead = known.select(F.col("word").alias("step"), F.col("root").alias("next"))
-        found = salted_lookup(known, known.count(), ahead, "root", "step", F.xxhash64("word"), "left")
+        hot = heat(known, "root")
+        found = salted_lookup(known, hot, ahead, "root", "step", F.xxhash64("word"), "left")
         root = F.coalesce("next", "root").alias("root")
         moved = settle(found.select("word", root, F.col("next").isNotNull().alias("moved")))
         known = moved.drop("moved")
