@@ -27,12 +27,12 @@ from skymart.llm.arrow import arrow_schema, doc_columns, map_rows, packed
 from skymart.operators.skew import heat, salted_lookup
 
 #: Fixed values of the contract: letters of a run, least length and occurrences, and times as frequent.
-LETTERS = "[A-Za-zÀ-ÿ]+"
+LETTERS = "[a-zÀ-ÿ]"
 LEAST_CHARS, LEAST_COUNT, TIMES = 7, 2, 10
 DELETED = 31
 #: Words that fit the tops of the trees (a sample by hash), and about how many a cell holds. The sample
 #: bounds the cells to SAMPLE / SAMPLE_OF_CELL; with more words cells grow, and hot ones are dealt.
-SAMPLE, SAMPLE_OF_CELL, CELL_WORDS = 65_536, 16, 16_384
+SAMPLE, SAMPLE_OF_CELL, CELL_WORDS = 65_536, 16, 65_536
 _HASHES = 1 << 30
 #: Words of a leaf inside a cell; a larger leaf is one of words with equal letters.
 LEAF_WORDS, LARGE_LEAF = 32, 256
@@ -44,12 +44,12 @@ _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def runs(docs: DataFrame) -> DataFrame:
-    """Runs of letters of all texts, A-Z lower-cased, of which one in DELETED lacks a letter."""
+    """Runs of LEAST_CHARS letters at least, A-Z lower-cased, of which one in DELETED lacks one."""
     doc_id, text = doc_columns()
-    found = F.regexp_extract_all(text, F.lit(LETTERS), F.lit(0))
-    long = F.filter(found, lambda run: F.char_length(run) >= LEAST_CHARS)
-    rows = docs.select(doc_id, F.explode(long).alias("run"))
-    rows = rows.withColumn("run", F.translate("run", _CAPITALS, _CAPITALS.lower()))
+    lowered = F.translate(text, _CAPITALS, _CAPITALS.lower())
+    # Shorter runs give no words, and a run of that length is matched from its first letter on.
+    found = F.regexp_extract_all(lowered, F.lit(f"{LETTERS}{{{LEAST_CHARS},}}"), F.lit(0))
+    rows = docs.select(doc_id, F.explode(found).alias("run"))
     named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
     rows = rows.withColumn("h", F.crc32(named.cast("binary")))
     at = F.pmod("h", F.char_length("run")).cast("int")
@@ -159,16 +159,14 @@ def reach(longer: int) -> tuple[int, int]:
 
 
 def _sketches(rows: np.ndarray) -> np.ndarray:
-    """128 bits of each word: each count of a letter flips one, so an L1 distance flips no more."""
+    """64 bits of each word: each count of a letter flips one, so an L1 distance flips no more."""
     letters = np.sort(rows, axis=1).astype(np.int64)
     place = np.broadcast_to(np.arange(letters.shape[1]), letters.shape)
     first = np.ones(letters.shape, bool)
     first[:, 1:] = letters[:, 1:] != letters[:, :-1]
     nth = place - np.maximum.accumulate(np.where(first, place, 0), axis=1)
-    bit = ((letters * 37 + nth * 53) % 128).astype(np.uint64)
-    flag = np.uint64(1) << (bit & np.uint64(63))
-    halves = [np.where((bit >> np.uint64(6)) == half, flag, np.uint64(0)) for half in (0, 1)]
-    return np.stack([np.bitwise_xor.reduce(half, axis=1) for half in halves], axis=1)
+    bit = ((letters * 37 + nth * 53) % 64).astype(np.uint64)
+    return np.bitwise_xor.reduce(np.uint64(1) << bit, axis=1)
 
 
 def _matrix(words: list[bytes], length: int) -> np.ndarray:
@@ -228,7 +226,7 @@ def near_pairs(points: list[bytes], asking: list[bytes]) -> Iterator[tuple[np.nd
             continue
         for begin in range(0, len(near), at_once // len(members) + 1):
             some = near[begin : begin + at_once // len(members) + 1]
-            flips = np.bitwise_count(own[some][:, None, :] ^ theirs[members][None, :, :]).sum(axis=2)
+            flips = np.bitwise_count(own[some][:, None] ^ theirs[members][None, :])
             q, p = np.nonzero(flips <= over + under)
             q, p = some[q], members[p]
             right = _one_edit(rows[q], others[p])
