@@ -8,6 +8,7 @@ import math
 import random
 import re
 import string
+import time
 from collections import Counter
 
 import numpy as np
@@ -293,3 +294,42 @@ def test_numbers_inside_longer_runs(spark):
     for scorer in (personal_data.fit(docs), personal_data.fit(corpus)):
         found = personal_data.digests(personal_data.find(docs, scorer)).collect()
         assert {rows[r.doc_id][1]: r.spans for r in found} == cases
+
+
+def test_time_grows_with_the_text(spark):
+    """Texts of one long run of candidates: twice the text takes about twice the time at most."""
+    corpus = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    scorer = personal_data.fit(corpus)
+
+    def seconds(unit, times):
+        docs = spark.createDataFrame([(1, unit * times)], "doc_id long, text string")
+        begin = time.perf_counter()
+        row = personal_data.digests(personal_data.find(docs, scorer)).first()
+        return time.perf_counter() - begin, row
+
+    least = min(seconds("x ", 10)[0] for _ in range(2))  # the plan alone
+    for unit, found in (("1 ", 0), ("a.", 0), ("a@b.co ", 1), ("+1 ", 0), ("4111111111111111 ", 1)):
+        short, row = seconds(unit, 10_000)
+        assert len(list(filter(None, row.spans.split(",")))) == 10_000 * found
+        long, row = seconds(unit, 20_000)
+        assert long < 20 and long - least < max(4.0, 3 * (short - least)), unit
+        assert len(list(filter(None, row.spans.split(",")))) == 20_000 * found
+
+
+def test_overlapping_candidates_equal_a_plain_choice(spark):
+    """Best first, each unless it overlaps one chosen before, over groups of overlapping candidates."""
+    draw = random.Random(12)
+    rows = []
+    for row in range(40):
+        own = {(draw.randrange(400), draw.choice([5, 13, 37, 150]), draw.randrange(4)) for _ in range(60)}
+        rows.append((row, [(float(draw.randrange(3)), s, -(s + size), k, s + size) for s, size, k in sorted(own)]))
+    frame = spark.createDataFrame(
+        rows, "row long, c array<struct<rank:double,start:int,longest:int,kind:int,stop:int>>"
+    )
+    best = personal_data._best(F.col("c"), F.lit(0), F.lit(600)).alias("best")
+    for row, found in frame.select("row", best).collect():
+        kept: list = []
+        for c in sorted(rows[row][1]):
+            if all(c[4] <= k[1] or k[2] <= c[1] for k in kept):
+                kept.append((c[3], c[1], c[4]))
+        assert sorted(map(tuple, found)) == sorted(kept)
