@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -68,5 +69,16 @@ def doc_texts(docs: DataFrame) -> DataFrame:
     return docs.select(*doc_columns())
 
 
+def fresh(*names: str) -> list[str]:
+    """Column names that no table has."""
+    own = uuid.uuid4().hex
+    return [f"{name}_{own}" for name in names]
+
+
+def named(column: str) -> Column:
+    """A column by its whole name, which may hold dots and backticks."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

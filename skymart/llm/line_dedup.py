@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skymart.cluster import settle
+from skymart.llm.arrow import fresh, named
 
 EDITS = 2
 NEAR_CHARS = 20
@@ -249,10 +250,14 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _with_dropped(rows: DataFrame, dropped: DataFrame, doc_id: Column, body: Column) -> DataFrame:
-    own = dropped.select(F.col("doc_id").alias("__of"), F.col("body").alias("__body"), F.col("dropped").alias("__dropped"))
-    same = doc_id.cast("long").eqNullSafe(F.col("__of")) & (body == F.col("__body"))
-    return rows.join(own, same, "left").drop("__of", "__body")
+def _with_dropped(
+    rows: DataFrame, dropped: DataFrame, doc_id: Column, body: Column
+) -> tuple[DataFrame, Column]:
+    """rows with the numbers of their dropped lines in a column of a name that no table has."""
+    of, own_body, numbers = fresh("of", "body", "dropped")
+    own = dropped.select(F.col("doc_id").alias(of), F.col("body").alias(own_body), F.col("dropped").alias(numbers))
+    same = doc_id.cast("long").eqNullSafe(F.col(of)) & (body == F.col(own_body))
+    return rows.join(own, same, "left").drop(of, own_body), F.col(numbers)
 
 
 def line_report(docs: DataFrame) -> DataFrame:
@@ -269,17 +274,15 @@ def line_report(docs: DataFrame) -> DataFrame:
         F.xxhash64(text).alias("body"),
         F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).alias("n_lines"),
     )
-    found = _with_dropped(rows, dropped_lines(docs), F.col("doc_id"), F.col("body"))
-    lost = F.coalesce("__dropped", F.array().cast("array<int>"))
+    found, numbers = _with_dropped(rows, dropped_lines(docs), F.col("doc_id"), F.col("body"))
+    lost = F.coalesce(numbers, F.array().cast("array<int>"))
     return found.select("doc_id", F.when(F.col("n_lines") < 0, 0).otherwise(F.col("n_lines")).alias("n_lines"), F.size(lost).alias("n_dropped"), lost.alias("dropped"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """docs, with all their columns, whose texts have lost the dropped lines. Null texts stay null."""
     text = F.col("text").cast("string")
-    found = _with_dropped(docs, dropped_lines(docs), F.col("doc_id"), F.xxhash64(text))
-    kept = F.filter(
-        F.split(text, "\n"), lambda _, place: ~F.array_contains(F.col("__dropped"), place)
-    )
-    rebuilt = F.when(F.col("__dropped").isNull(), text).otherwise(F.array_join(kept, "\n"))
-    return found.select(*[rebuilt.alias(c) if c == "text" else found[c] for c in docs.columns])
+    found, numbers = _with_dropped(docs, dropped_lines(docs), F.col("doc_id"), F.xxhash64(text))
+    kept = F.filter(F.split(text, "\n"), lambda _, place: ~F.array_contains(numbers, place))
+    rebuilt = F.when(numbers.isNull(), text).otherwise(F.array_join(kept, "\n"))
+    return found.select(*[rebuilt.alias(c) if c == "text" else named(c) for c in docs.columns])

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from skymart.llm.arrow import fresh, named
+
 #: Rows of a block.
 BLOCK_ROWS = 16
 #: Blocks of a period over all sources, when shares follow from the sizes of the sources.
@@ -214,16 +216,18 @@ def schedule(docs: DataFrame, shares: Mapping[str, int] | None = None) -> DataFr
 def mixed(docs: DataFrame, shares: Mapping[str, int] | None = None) -> DataFrame:
     """docs in mixed order, with all their columns and mix_slot, the slot of the row's block.
 
-    Rows equal in doc_id, source and text get the slot of the first of them.
+    Rows equal in doc_id, source and text get the slot of the first of them. docs need a text; a
+    mix_slot of their own is replaced.
     """
+    id_, source, hash_, at = fresh("id", "source", "hash", "at")
     slots = schedule(docs, shares).groupBy(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("content").alias("__hash")
-    ).agg(F.min(F.struct("slot", "place")).alias("__at"))
+        F.col("doc_id").alias(id_), F.col("source").alias(source), F.col("content").alias(hash_)
+    ).agg(F.min(F.struct("slot", "place")).alias(at))
     same = (
-        docs["doc_id"].cast("long").eqNullSafe(F.col("__id"))
-        & docs["source"].cast("string").eqNullSafe(F.col("__source"))
-        & (F.xxhash64(docs["text"]) == F.col("__hash"))
+        named("doc_id").cast("long").eqNullSafe(F.col(id_))
+        & named("source").cast("string").eqNullSafe(F.col(source))
+        & (F.xxhash64(named("text")) == F.col(hash_))
     )
-    others = [docs[c] for c in docs.columns if c != "mix_slot"]
-    placed = docs.join(slots, same).orderBy("__at")
-    return placed.select(*others, F.col("__at.slot").alias("mix_slot"))
+    others = [named(c) for c in docs.columns if c != "mix_slot"]
+    placed = docs.join(slots, same).orderBy(at)
+    return placed.select(*others, F.col(at)["slot"].alias("mix_slot"))

@@ -37,8 +37,9 @@ from pyspark.sql.window import Window
 
 from skymart.cluster import settle, ship
 from skymart.llm import tokens
-from skymart.llm.arrow import arrow_schema, doc_texts, map_rows
+from skymart.llm.arrow import arrow_schema, doc_texts, fresh, map_rows, named
 from skymart.llm.components import contracted, merged, settle_narrow
+from skymart.operators.lookups import within
 
 WORDS = 5
 #: Least Jaccard similarity of a link, in percent.
@@ -64,10 +65,10 @@ def shingle_sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for count in counts.tolist():
             if count >= WORDS:
                 own = np.sort(grams[at : at + count - WORDS + 1])
-                fresh = np.empty(len(own), bool)
-                fresh[0] = True
-                np.not_equal(own[1:], own[:-1], out=fresh[1:])
-                yield own[fresh]
+                first = np.empty(len(own), bool)
+                first[0] = True
+                np.not_equal(own[1:], own[:-1], out=first[1:])
+                yield own[first]
             elif count:
                 whole = hashes[at : at + 1]
                 for k in range(1, count):
@@ -422,6 +423,22 @@ def _components(lists: DataFrame, sets: DataFrame) -> DataFrame:
         number += 1
 
 
+def _decided(docs: DataFrame, chunk_docs: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, signature and n_shingles of every document; and component of those with a word."""
+    ship(docs.sparkSession)
+    docs = doc_texts(docs)
+    listed = settle(_listed(docs, chunk_docs))
+    sets = _sets(docs, listed)
+    shard_bits = min(16, max(4, math.ceil(math.log2(sets.count() + 1)) - 9))
+    labels = _components(_lists(_indexed(sets, shard_bits)), sets)
+    labelled = sets.select("node", "signature").join(labels, "node").select("signature", "label")
+    known = listed.filter("n_shingles > 0").join(labelled, "signature", "left")
+    # A set that is linked with none is a component by itself.
+    alone = F.when(F.col("label").isNull(), F.col("signature")).alias("signature")
+    component = F.struct("label", alone).alias("component")
+    return listed, known.select("doc_id", "signature", "n_shingles", component)
+
+
 def near_duplicates(docs: DataFrame, chunk_docs: int = CHUNK_DOCS) -> DataFrame:
     """doc_id, n_shingles and component_id of every document.
 
@@ -430,17 +447,7 @@ def near_duplicates(docs: DataFrame, chunk_docs: int = CHUNK_DOCS) -> DataFrame:
     and name themselves. Equal texts (repeated rows, too) are in one component; a null doc_id is
     never the smallest unless all are null. No rows give none; other columns are not read.
     """
-    ship(docs.sparkSession)
-    docs = doc_texts(docs)
-    listed = settle(_listed(docs, chunk_docs))
-    sets = _sets(docs, listed)
-    shard_bits = min(16, max(4, math.ceil(math.log2(sets.count() + 1)) - 9))
-    labels = _components(_lists(_indexed(sets, shard_bits)), sets)
-    named = sets.select("node", "signature").join(labels, "node").select("signature", "label")
-    known = listed.filter("n_shingles > 0").join(named, "signature", "left")
-    known = known.withColumn(
-        "signature", F.when(F.col("label").isNull(), F.col("signature"))
-    ).select("doc_id", "n_shingles", F.struct("label", "signature").alias("component"))
+    listed, known = _decided(docs, chunk_docs)
     smallest = known.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     alone = listed.filter("n_shingles = 0").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
@@ -449,14 +456,53 @@ def near_duplicates(docs: DataFrame, chunk_docs: int = CHUNK_DOCS) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """docs, with all their columns, without the documents that are not their component's first.
+    """docs, with all their columns, without all but one row of each component.
 
-    Rows without a doc_id, and documents without a word, stay; repeated rows of a doc_id that stays
-    all stay.
+    The row with the smallest doc_id stays; null is the largest. Of several rows of that doc_id the
+    one with the smallest digests of its shingles and of its text stays, of equal ones any. Rows without a
+    word all stay. Rows are told apart by doc_id alone where it occurs once, and by their texts
+    where it occurs again, so that no text goes for another one of the same doc_id.
     """
-    found = near_duplicates(docs)
-    gone = settle(
-        found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    )
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("gone"), "left_anti")
+    listed, known = _decided(docs, CHUNK_DOCS)
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "signature")
+    first = known.groupBy("component").agg(F.min(order).alias("first"))
+    known = settle(known.join(first, "component").select("doc_id", "signature", "first"))
+    gone = known.filter(~order.eqNullSafe(F.col("first"))).select("doc_id", "signature").distinct()
+    again = listed.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1")
+    gone, again = settle(gone), settle(again.select("doc_id"))
+
+    id_, body, of, own, place = fresh("id", "body", "of", "own", "place")
+    given = docs.withColumn(id_, named("doc_id").cast("long"))
+    some = again.select(F.col("doc_id").alias(of))
+    some = F.broadcast(some) if within(some, BROADCAST_IDS) else some
+    repeated = F.col(id_).eqNullSafe(F.col(of))
+    lost = gone.select(F.col("doc_id").alias(own)).distinct()
+    lost = F.broadcast(lost) if within(lost, BROADCAST_IDS) else lost
+    once = given.join(some, repeated, "left_anti").join(lost, F.col(id_).eqNullSafe(F.col(own)), "left_anti")
+    if again.isEmpty():
+        return once.drop(id_)
+
+    # Repeated doc_ids: each text's shingles decide, and of a component's rows one stays.
+    digest = F.md5(F.coalesce(named("text").cast("string"), F.lit("")))
+    several = given.join(some, repeated, "left_semi").withColumn(body, digest)
+    texts = several.select(F.col(id_).alias("doc_id"), F.col(body).alias("body"), named("text").cast("string").alias("text"))
+
+    def signed(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            rows = zip(batch.column("doc_id").to_pylist(), batch.column("body").to_pylist(), shingle_sets(batch), strict=True)
+            for doc_id, digest, shingles in rows:
+                if len(shingles):
+                    yield doc_id, digest, _signature(shingles)
+
+    pairs = settle(map_rows(texts, signed, "doc_id long, body string, signature binary").distinct())
+    kept = known.filter(order.eqNullSafe(F.col("first"))).select("doc_id", "signature").distinct()
+    same = pairs["doc_id"].eqNullSafe(kept["doc_id"]) & (pairs["signature"] == kept["signature"])
+    best = pairs.join(kept, same, "left_semi").groupBy("doc_id", "signature").agg(F.min("body").alias("body"))
+    best = best.select(F.col("doc_id").alias(of), F.col("body").alias(own))
+    chosen = F.col(id_).eqNullSafe(F.col(of)) & (F.col(body) == F.col(own))
+    stays = several.join(best, chosen, "left_semi")
+    one = Window.partitionBy(id_, body).orderBy(id_)
+    stays = stays.withColumn(place, F.row_number().over(one)).filter(F.col(place) == 1).drop(place)
+    worded = pairs.select(F.col("doc_id").alias(of), F.col("body").alias(own))
+    blank = several.join(worded, chosen, "left_anti")
+    return once.drop(id_).union(stays.union(blank).drop(id_, body))

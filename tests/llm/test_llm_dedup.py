@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from skymart.llm import exact_dedup, line_dedup, shingle_join
+from skymart.llm import exact_dedup, line_dedup, mixing, shingle_join
 
 
 def lowered(text: str | None) -> bytes:
@@ -124,13 +125,43 @@ def test_pipeline_over_a_partition_of_copies(spark):
     )
 
 
-def test_one_of_each_keeps_columns(corpus):
+def test_one_of_each_keeps_one_row_of_a_component(corpus):
+    """Also of several rows of one doc_id, of which one text has copies and another has none."""
     docs, rows = corpus
+    odd = {c: F.lit("x") for c in ("gone", "__id", "__at", "__dropped", "mix_slot", "a.b", "of", "body")}
+    docs = docs.withColumns(odd)
+    more = [(3, "a text without any copy at all"), (3, rows[8][1]), (900, "blank beside words"), (900, "")]
+    more += [(901, "Same Words in other letters"), (901, "same words IN other letters"), (None, "alone without id")]
+    extra = docs.sparkSession.createDataFrame(more, "doc_id long, text string").withColumn("source", F.lit("s"))
+    docs = docs.unionByName(extra, allowMissingColumns=True)
+    every = [(i, t) for i, t, *_ in rows] + more
     kept = shingle_join.one_of_each(docs)
     assert kept.columns == docs.columns
-    first = {i for i, size, c in components(rows) if i == c or i is None or size == 0}
-    expected = [r[0] for r in rows if r[0] in first]
-    assert sorted(key((r.doc_id,)) for r in kept.collect()) == sorted(key((i,)) for i in expected)
+    found = Counter((r.doc_id, r.text) for r in kept.select("doc_id", "text").collect())
+    # Components by brute force over texts, which stand for their rows.
+    sets = [own_shingles(t) for _, t in every]
+    label = list(range(len(every)))
+    for i, one in enumerate(sets):
+        for j in range(i):
+            both = len(one & sets[j])
+            if one and sets[j] and 100 * both >= 80 * len(one | sets[j]):
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    for component in set(label):
+        members = [every[i] for i, x in enumerate(label) if x == component and sets[i]]
+        if members:
+            smallest = min((i for i, _ in members if i is not None), default=None)
+            stays = [m for m in dict.fromkeys(members) if found[m]]
+            assert len(stays) == 1 and stays[0][0] == smallest and found[stays[0]] == 1, members
+    blank = Counter(row for row, own in zip(every, sets, strict=True) if not own)
+    assert Counter({row: n for row, n in found.items() if not own_shingles(row[1])}) == blank
+
+
+def own_shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
 
 
 def test_dedup_of_nothing(no_docs):
@@ -229,3 +260,16 @@ def test_lines_match_all_pairs(spark):
         lost = gone.get((i, t), [])
         kept = None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in lost)
         assert texts[i, kept] >= times
+
+
+def test_stages_keep_columns_of_any_name(corpus):
+    """Names that the operators use inside, dots, and the name of the column that mixing adds."""
+    docs, rows = corpus
+    names = ("gone", "__id", "__source", "__hash", "__at", "__dropped", "__of", "__body", "mix_slot", "a.b", "c`d")
+    docs = docs.withColumns({c: F.lit(c) for c in names})
+    lines = line_dedup.without_repeats(docs)
+    assert lines.columns == docs.columns and lines.count() == len(rows)
+    mixed = mixing.mixed(docs)
+    assert sorted(mixed.columns) == sorted(docs.columns) and mixed.count() == len(rows)
+    row = mixed.first().asDict()
+    assert row["a.b"] == "a.b" and row["__at"] == "__at" and isinstance(row["mix_slot"], int)
