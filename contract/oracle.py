@@ -572,6 +572,66 @@ def _needed(sql: str) -> list[str]:
     return [name for name in _CTES if name in found]
 
 
+# What each ordered report is sorted by; ties go by its columns from left to right, NULL last.
+_ORDERS = {
+    "carrier_leaderboard": (
+        "reliability_score desc nulls first",
+        ("carrier_name", "reliability_score", "total_flights", "cancellation_rate"),
+    ),
+    "carriers_ascending": (
+        "reliability_score asc nulls last",
+        ("carrier_name", "reliability_score", "total_flights", "cancellation_rate"),
+    ),
+    "delay_causes": ("flights desc", ("primary_delay_cause", "flights")),
+    "time_of_day": ("avg_delay desc nulls first", ("dep_time_period", "avg_delay")),
+    "worst_routes": (
+        "on_time_rate asc nulls last",
+        ("route", "carrier_name", "total_flights", "on_time_rate", "cancellation_rate"),
+    ),
+    "busiest_airports": (
+        "total_departures desc",
+        ("iata_code", "airport_name", "total_departures", "avg_departure_delay"),
+    ),
+    "delayed_airports": (
+        "avg_departure_delay desc nulls last",
+        ("iata_code", "airport_name", "total_departures", "avg_departure_delay"),
+    ),
+    "distance_delay": (
+        "avg_delay desc nulls first", ("distance_bucket", "avg_delay", "total_flights"),
+    ),
+    "top_delayed_carriers": (
+        "avg_delay_min desc nulls last", ("carrier_name", "avg_delay_min", "total_flights"),
+    ),
+    "most_cancelled_routes": (
+        "cancellation_rate desc nulls first", ("route", "cancellation_rate", "total_flights"),
+    ),
+    "cause_breakdown": (
+        "occurrences desc", ("primary_delay_cause", "occurrences", "avg_delay_min"),
+    ),
+    "busiest_by_rank": (
+        "airport_rank asc", ("iata_code", "airport_name", "total_departures", "airport_rank"),
+    ),
+    "mart_carrier_performance": (
+        "reliability_score desc nulls last", ("carrier_name", "reporting_airline", "flight_month"),
+    ),
+    "mart_airport_performance": (
+        "total_departures desc nulls last", ("iata_code", "airport_name", "city", "state"),
+    ),
+    "mart_route_analysis": (
+        "total_flights desc nulls last", ("route", "carrier_name", "distance_bucket"),
+    ),
+}
+
+
+def _with_places(name: str) -> str:
+    by, ties = _ORDERS[name]
+    order = ", ".join([by, *(f"{column} asc nulls last" for column in ties)])
+    return f"select *, row_number() over (order by {order})::int as place from ({_QUERIES[name]})"
+
+
+_QUERIES |= {f"order_{name}": _with_places(name) for name in _ORDERS}
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for query, sql in _QUERIES.items():

@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from contract import fixture
 from skymart import schema
@@ -397,6 +398,36 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
 }
 
 
+#: Reports whose order is the point: each comes back with its rows' places.
+ORDERED = (
+    "carrier_leaderboard", "carriers_ascending", "delay_causes", "time_of_day", "worst_routes",
+    "busiest_airports", "delayed_airports", "distance_delay", "top_delayed_carriers",
+    "most_cancelled_routes", "cause_breakdown", "busiest_by_rank",
+)
+
+
+def _placed(report: DataFrame) -> DataFrame:
+    """The rows of an ordered report, a few hundred at most, with their places from 1."""
+    marked = report.withColumn("_at", F.monotonically_increasing_id())
+    return marked.select(*report.columns, F.row_number().over(Window.orderBy("_at")).alias("place"))
+
+
+def _in_order(name: str) -> Callable[[Inputs], DataFrame]:
+    return lambda t: _placed(_QUERIES[name](t))
+
+
+def _mart_in_order(name: str) -> Callable[[Inputs], DataFrame]:
+    """The places of a mart's rows in its own order, by what identifies them."""
+    return lambda t: _placed(reports.in_order(t.table(name), name))
+
+
+_QUERIES |= {f"order_{name}": _in_order(name) for name in ORDERED}
+_QUERIES |= {
+    f"order_{name}": _mart_in_order(name)
+    for name in ("mart_carrier_performance", "mart_airport_performance", "mart_route_analysis")
+}
+
+
 def _registered(build: Callable[[Inputs], DataFrame]):
     return lambda spark, sf_dir: plain(build(Inputs(spark, sf_dir)))
 
