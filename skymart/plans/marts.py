@@ -174,27 +174,58 @@ def mart_airport_performance(flights: DataFrame) -> DataFrame:
 _COMPONENTS = ("carrier", "weather", "nas", "late_aircraft", "security")
 
 
+#: Delay keys with a few fixed values: a flight carries their numbers in one whole number.
+_PACKED = {
+    "primary_delay_cause": (*(label for label, _ in schema.DELAY_CAUSES), schema.NO_CAUSE),
+    "dep_time_period": (*(name for name, _, _ in schema.TIME_PERIODS), schema.OTHER_PERIOD),
+    "day_of_week_name": schema.WEEKDAYS,
+    "is_weekend": (False, True),
+    "distance_bucket": (*(name for name, _ in schema.HAULS), schema.LONGEST_HAUL),
+}
+
+
+def _packed() -> Column:
+    """One number for the labels of a flight: their places from 1, 0 for NULL."""
+    number = F.lit(0)
+    for name, labels in _PACKED.items():
+        place = F.coalesce(F.array_position(F.array(*map(F.lit, labels)), F.col(name)), F.lit(0))
+        number = number * (len(labels) + 1) + place.cast("int")
+    return number.cast("int")
+
+
+def _unpacked(number: Column) -> dict[str, Column]:
+    found = {}
+    for name, labels in reversed(_PACKED.items()):
+        place = (number % (len(labels) + 1)).cast("int")
+        found[name] = F.get(F.array(*map(F.lit, labels)), place - 1)
+        number = F.floor(number / (len(labels) + 1))
+    return found
+
+
 def delay_facts(flights: DataFrame) -> DataFrame:
     """Counts, means and most frequent carrier and route per delay segment.
 
     Measures are summed per segment and carrier, routes counted per segment and route;
-    the two partial results are stacked and combined in one group-by per segment.
+    the two partial results are stacked and combined in one group-by per segment. The labels of a
+    segment travel as one number.
     """
-    months = flights.withColumn("flight_month", fn.month_start(F.col("fl_date")))
+    keys = ("delay_label", "flight_month", "_labels")
+    months = flights.withColumns(
+        {"flight_month": fn.month_start(F.col("fl_date")), "_labels": _packed()}
+    )
     sums = {"flights": row_count(), "arr_minutes": F.sum("arr_delay_minutes")}
     for part in _COMPONENTS:
         minutes = F.col(f"{part}_delay")
         sums[f"{part}_minutes"] = F.sum(minutes)
         sums[f"{part}_flights"] = F.count_if(minutes != 0)
-    by_carrier = months.groupBy(*DELAY_KEYS, "carrier_name").agg(
+    by_carrier = months.groupBy(*keys, "carrier_name").agg(
         *[column.alias(name) for name, column in sums.items()]
     )
-    by_route = months.groupBy(*DELAY_KEYS, "route").agg(row_count().alias("route_flights"))
+    by_route = months.groupBy(*keys, "route").agg(row_count().alias("route_flights"))
     total = F.sum("flights")
-    # the hash comes first so that sorting by the keys rarely compares their long texts
-    return (
+    facts = (
         by_carrier.unionByName(by_route, allowMissingColumns=True)
-        .groupBy(F.xxhash64(*DELAY_KEYS).alias("_hash"), *DELAY_KEYS)
+        .groupBy(*keys)
         .agg(
             total.alias("flight_count"),
             exact.mean(F.sum("arr_minutes"), total).alias("avg_arr_delay_minutes"),
@@ -207,8 +238,10 @@ def delay_facts(flights: DataFrame) -> DataFrame:
             aggregates.most_frequent("carrier_name", "flights").alias("worst_carrier"),
             aggregates.most_frequent("route", "route_flights").alias("worst_route"),
         )
-        .drop("_hash")
     )
+    labels = _unpacked(F.col("_labels"))
+    own = [labels[k].alias(k) if k in labels else F.col(k) for k in DELAY_KEYS]
+    return facts.select(*own, *facts.columns[len(keys) :])
 
 
 def mart_delay_analysis(flights: DataFrame) -> DataFrame:
