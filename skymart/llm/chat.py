@@ -12,8 +12,6 @@ their first character (and one more where there were some), which `read_back` ta
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -76,11 +74,14 @@ def best_branches(links: DataFrame, keep: int = 1) -> DataFrame:
     first = salted_lookup(own, heat(own, "parent"), ids, "parent", "known", F.col("id"), "left")
     one = F.lit(1).cast("long").alias("size")
     state = settle_narrow(first.select("id", "up", one, F.col("score").alias("sum")))
-    # Messages whose way to the root is known, round by round, and those that look 2 ** round ahead.
-    done, moving, jumps = [state.filter("up is null")], state.filter("up is not null"), []
-    while (heated := heat(moving, "up")).rows and 1 << len(jumps) <= 2 * total:
+    # up is null once the way to the root is known, else the message 2 ** round above.
+    jumps: list[DataFrame] = []
+    while 1 << len(jumps) <= 2 * total:
+        moving = state.filter("up is not null")
+        if not (heated := heat(moving, "up")).rows:
+            break
         jumps.append(moving.select(F.col("id").alias("low"), F.col("up").alias("high")))
-        beyond = reduce(DataFrame.union, done, moving).select(
+        beyond = state.select(
             F.col("id").alias("known"), F.col("up").alias("upper"),
             F.col("size").alias("more"), F.col("sum").alias("more_sum"),
         )
@@ -88,11 +89,10 @@ def best_branches(links: DataFrame, keep: int = 1) -> DataFrame:
             "id", F.col("upper").alias("up"),
             (F.col("size") + F.col("more")).alias("size"), (F.col("sum") + F.col("more_sum")).alias("sum"),
         )
-        state = settle_narrow(moved)
-        done.append(state.filter("up is null"))
-        moving = state.filter("up is not null")
+        # Written whole in each round: a stack of rounds would take the optimizer ever longer.
+        state = settle_narrow(moved.union(state.filter("up is null")))
     answered = own.select(F.col("parent").alias("id")).distinct()
-    leaves = reduce(DataFrame.union, done).join(answered, "id", "left_anti")
+    leaves = state.filter("up is null").join(answered, "id", "left_anti")
     leaves = leaves.join(own.select("id", "tree"), "id")
     mean = F.col("sum") / F.col("size")
     best = Window.partitionBy("tree").orderBy(F.desc("mean"), F.desc("size"), "id")
