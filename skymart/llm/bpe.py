@@ -14,7 +14,6 @@ import heapq
 import json
 import re
 import unicodedata
-from array import array
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
@@ -27,10 +26,10 @@ from pyspark.sql import functions as F
 from skymart.llm.arrow import doc_columns, doc_texts, map_rows, texts
 
 LONG_WORD = 512
-#: Bytes that a worker remembers of words, and of chunks between white space.
-REMEMBERED_BYTES = 24 << 20
-#: What an entry takes beside its texts and ids: a key, a tuple and their places.
-ENTRY_BYTES = 280
+#: Distinct words remembered by a worker; beyond that it forgets all and goes on.
+REMEMBERED = 300_000
+#: Where the ids are handed on as well, which take memory of their own.
+REMEMBERED_BESIDE_IDS = 100_000
 NO_RANK = 1 << 60
 
 #: The words of the vocabulary's pre-tokenizer, and the mark of a word's end.
@@ -45,32 +44,11 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
-class Recent:
-    """Entries of a bounded number of bytes: when half of them are new, the older half is forgotten."""
-
-    def __init__(self, limit: int) -> None:
-        self.half, self.size = limit // 2, 0
-        self.new: dict = {}
-        self.old: dict = {}
-
-    def get(self, key):
-        entry = self.new.get(key)
-        if entry is None and (entry := self.old.get(key)) is not None:
-            self.put(key, entry)
-        return entry
-
-    def put(self, key, entry) -> None:
-        own = ENTRY_BYTES + len(key) + sum(len(x) for x in entry if isinstance(x, bytes))
-        if self.size + own > self.half:
-            self.new, self.old, self.size = {}, self.new, 0
-        self.new[key] = entry
-        self.size += own
-
-
 class WordBpe:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, content: str) -> None:
+    def __init__(self, content: str, remembered: int = REMEMBERED) -> None:
+        self.remembered = remembered
         model = json.loads(content)
         vocabulary: dict[str, int] = model["model"]["vocab"]
         special = {t["content"]: t["id"] for t in model["added_tokens"]}
@@ -84,7 +62,8 @@ class WordBpe:
             self.merges[vocabulary[a], vocabulary[b]] = (rank, vocabulary[a + b])
         self.special = special
         self.special_split = re.compile("(" + "|".join(map(re.escape, special)) + ")")
-        self.by_word, self.by_chunk = Recent(REMEMBERED_BYTES), Recent(REMEMBERED_BYTES)
+        self.by_word: dict[str, list[int]] = {}
+        self.by_chunk: dict[bytes, tuple[int, bytes, bytes]] = {}
 
     def merge_word(self, data: bytes) -> list[int]:
         parts = [self.first_ids[b] for b in data]
@@ -132,14 +111,12 @@ class WordBpe:
                     heapq.heappush(queue, (merge[0], left, merge[1], parts[left], parts[right]))
         return [p for p in parts if p >= 0]
 
-    def _word(self, word: str) -> array:
-        known = self.by_word.get(word)
-        if known is None:
-            ids = array("i", self.merge_word(word.encode()))
-            known = (ids.tobytes(),)
-            if len(word) <= LONG_WORD:
-                self.by_word.put(word, known)
-        return array("i", known[0])
+    def _word(self, word: str) -> list[int]:
+        if (known := self.by_word.get(word)) is None:
+            if len(self.by_word) >= self.remembered:
+                self.by_word.clear()
+            known = self.by_word[word] = self.merge_word(word.encode())
+        return known
 
     def encode_chunk(self, chunk: str) -> list[int]:
         """Ids of text that holds no ASCII white space."""
@@ -167,7 +144,8 @@ class WordBpe:
         known, count = self.by_chunk, 0
         ids, decoded = [], []
         for chunk in text.encode("utf-8", "replace").split():
-            entry = known.new.get(chunk) or known.get(chunk) or self._chunk_entry(chunk)
+            if (entry := known.get(chunk)) is None:
+                entry = self._chunk_entry(chunk)
             if entry[0]:
                 count += entry[0]
                 ids.append(entry[1])
@@ -175,16 +153,18 @@ class WordBpe:
         return count, b" ".join(ids), b" ".join(decoded)
 
     def _chunk_entry(self, chunk: bytes) -> tuple[int, bytes, bytes]:
+        if len(self.by_chunk) >= self.remembered:
+            self.by_chunk.clear()
         ids = self.encode_chunk(chunk.decode())
         entry = len(ids), " ".join(map(str, ids)).encode(), self.decode(ids).encode()
         if len(chunk) <= LONG_WORD:
-            self.by_chunk.put(chunk, entry)
+            self.by_chunk[chunk] = entry
         return entry
 
 
 @lru_cache(maxsize=2)
-def _loaded(content: str) -> WordBpe:
-    return WordBpe(content)
+def _loaded(content: str, remembered: int = REMEMBERED) -> WordBpe:
+    return WordBpe(content, remembered)
 
 
 def _vocabulary(path: str) -> str:
@@ -203,7 +183,7 @@ def encode(docs: DataFrame, path: str, carried: Sequence[str] = ()) -> DataFrame
     vocabulary = docs.sparkSession.sparkContext.broadcast(_vocabulary(path))
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-        bpe = _loaded(vocabulary.value)
+        bpe = _loaded(vocabulary.value, REMEMBERED_BESIDE_IDS)
         for batch in batches:
             others = [batch.column(f"carried_{k}").to_pylist() for k in range(len(carried))]
             for at, (doc_id, text) in enumerate(texts([batch])):
