@@ -457,3 +457,24 @@ def test_many_ranges_of_any_width(spark):
     ]
     few, many = (sorted(map(tuple, df.select("id", "minutes", "label").collect()), key=str) for df in looked_up)
     assert few == many
+
+
+def test_range_lookup_in_cells(spark, monkeypatch):
+    """Many pairs are not written: crowded bins are cut into cells, with the rows of a plain join."""
+    monkeypatch.setattr(lookups, "CELL_FACTS", 7)
+    monkeypatch.setattr(lookups, "CELL_RANGES", 3)
+    written = []
+    monkeypatch.setattr(lookups, "settle", lambda df: written.append(df.columns) or df)
+    values = [float(n % 90) - 10 for n in range(200)] + [5.0] * 50 + [None, float("nan"), float("inf")]
+    facts = spark.createDataFrame(list(enumerate(values)), "id int, v double").cache()
+    bounds = [(n, n * 3.0 - 40, n * 3.0 - 39.5 + n % 5) for n in range(30)]
+    bounds += [(30, None, 12.0), (31, 60.0, None), (31, 60.0, None), (32, None, None), (33, 9.0, 8.0)]
+    bounds = [b for b in bounds if b[0] != 32]
+    ranges = spark.createDataFrame(bounds, "label int, low double, high double").cache()
+    found = lookups.range_lookup(facts, ranges, "v", "low", "high", max_broadcast=1, max_pairs=0)
+    plain = lookups.range_lookup(facts, ranges, "v", "low", "high", max_broadcast=100)
+    assert found.columns == plain.columns == ["id", "v", "label"]
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(found) == rows(plain)
+    assert found.filter("label is null").count() >= 2
+    assert not any({"_value", "label"} <= set(columns) for columns in written)
