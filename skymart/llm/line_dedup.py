@@ -8,8 +8,10 @@ Equal lines are one through a 128-bit hash. Each distinct line is cut into EDITS
 even length. Two lines within EDITS edits share at least one segment, at places that differ by no
 more than the edits before and behind it allow. So a line is indexed under each of its segments
 (with its length), and looked up under those substrings of it that can be a segment of a line of
-the same or a smaller length. A pair is let through only if its letter counts differ by at most
-two for each edit, and is verified on its texts with a banded bit-parallel edit distance.
+the same or a smaller length. Lines that share no key go first. Of the rest, the lines of a key meet
+its earliest lines, and those that are near none of them meet all earlier ones. A pair is let through
+only if its letter counts differ by at most two for each edit, and is verified on its texts with a
+banded bit-parallel edit distance.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from skymart.cluster import settle
 from skymart.llm.arrow import fresh, named
@@ -47,27 +50,6 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _segment(length: Column, number: Column) -> tuple[Column, Column]:
-    """Start (from 0) and length of a segment: the last ones are longer if it doesn't come out even."""
-    parts = EDITS + 1
-    short, longer = F.call_function("div", length, F.lit(parts)), length % parts
-    before = F.greatest(number - parts + longer, F.lit(0))
-    return short * number + before, short + F.when(longer >= parts - number, 1).otherwise(0)
-
-
-def _key(wide: Column, length: Column, number: Column, at: Column, size: Column) -> Column:
-    """The hash of a substring as a segment of a line of this length."""
-    part = F.substring(wide, (4 * at + 1).cast("int"), (4 * size).cast("int"))
-    return F.xxhash64(number, length, part)
-
-
-def _index_keys(wide: Column, length: Column) -> Column:
-    def key(number: Column) -> Column:
-        return _key(wide, length, number, *_segment(length, number))
-
-    return F.transform(F.array(*map(F.lit, range(EDITS + 1))), key)
-
-
 def _probes() -> list[tuple[int, int, int]]:
     """Missing characters, segment and shift of each substring that can be a segment."""
     found = []
@@ -79,29 +61,32 @@ def _probes() -> list[tuple[int, int, int]]:
     return found
 
 
-def _probe_keys(wide: Column, length: Column) -> Column:
-    """The keys of _probes(), null where a substring would reach over an end."""
-    names = ("missing", "number", "shift")
+#: Places in _probes() of a line's own segments, under which it is indexed.
+_OWN = [place for place, (missing, _, shift) in enumerate(_probes()) if missing == shift == 0]
+
+
+def _keys(line: Column, length: Column) -> Column:
+    """The hash of each of _probes(), as a segment of a line of that length.
 
-    def key(probe: Column) -> Column:
-        other = length - probe["missing"]
-        start, size = _segment(other, probe["number"])
-        at = start + probe["shift"]
-        fits = (at >= 0) & (at + size <= length)
-        return F.when(fits, _key(wide, other, probe["number"], at, size))
+    A line of NEAR_CHARS holds them all. They stand one by one, as plain expressions are compiled.
+    """
+
+    def key(missing: int, number: int, shift: int) -> Column:
+        other = length - missing
+        start, stop = (F.call_function("div", other * k, F.lit(EDITS + 1)).cast("int") for k in (number, number + 1))
+        return F.xxhash64(F.lit(number), other, F.substring(line, start + (shift + 1), stop - start))
 
-    probes = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, p)]) for p in _probes()]
-    return F.transform(F.array(*probes), key)
+    return F.array(*[key(*probe) for probe in _probes()])
 
 
 def _signature(line: Column) -> Column:
     """Counts of the LETTERS modulo 128, packed in one number."""
 
-    def add(packed: Column, letter: Column) -> Column:
-        count = F.octet_length(line) - F.octet_length(F.replace(line, letter, F.lit("")))
-        return F.shiftleft(packed, 8).bitwiseOR((count % 128).cast("long"))
+    def count(letter: str) -> Column:
+        return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
 
-    return F.aggregate(F.array(*map(F.lit, LETTERS)), F.lit(0).cast("long"), add)
+    parts = [F.shiftleft((count(x) % 128).cast("long"), 8 * k) for k, x in enumerate(reversed(LETTERS))]
+    return reduce(lambda a, b: a.bitwiseOR(b), parts)
 
 
 def _apart(a: Column, b: Column) -> Column:
@@ -115,32 +100,19 @@ def _apart(a: Column, b: Column) -> Column:
     return total
 
 
-def _candidates(lines: DataFrame) -> DataFrame:
-    """Pairs (a, b) of hashes h of lines that may be within EDITS edits."""
-    # Four bytes a character, so that a substring is found without counting characters.
-    wide = lines.filter(F.col("size") >= NEAR_CHARS).select(
-        "h", "line", "size", F.encode("line", "UTF-32").alias("wide")
-    )
-    letters, line = _signature(F.col("line")), (F.col("wide"), F.col("size"))
-    # Each side makes its own keys and drops equal lines before it multiplies them. The outer forms of
-    # explode keep Spark from testing the arrays in a filter below, which would make them twice.
-    index = wide.select(
-        F.col("h").alias("b"), letters.alias("of_b"), _index_keys(*line).alias("keys")
-    ).distinct()
-    index = index.select("b", "of_b", F.explode_outer("keys").alias("key"))
-    probe = wide.select(
-        F.col("h").alias("a"), letters.alias("of_a"), _probe_keys(*line).alias("keys")
-    ).distinct()
-    probe = probe.select("a", "of_a", F.posexplode_outer("keys").alias("place", "key"))
-    equal = sum(missing == 0 for missing, *_ in _probes())
-    probe = probe.withColumn("longer", F.col("place") >= equal)
-    # Lines of equal length find each other; one of the two pairs is enough.
-    once = (F.col("longer") & (F.col("a") != F.col("b"))) | (F.col("a") > F.col("b"))
-    close = _apart(F.col("of_a"), F.col("of_b")) <= 2 * EDITS
-    found = probe.filter(F.col("key").isNotNull()).alias("p").join(
-        index.alias("i"), (F.col("p.key") == F.col("i.key")) & once & close
-    )
-    return found.select("a", "b").distinct()
+def _met(lines: DataFrame) -> DataFrame:
+    """key, h and own of the lines that share a key with another line, which is a segment of one of them."""
+    long = lines.filter(F.col("size") >= NEAR_CHARS)
+    # Equal lines are one before their keys are dealt. The outer form of explode keeps Spark from
+    # testing the arrays in a filter below, which would make them twice.
+    keys = long.select("h", _keys(F.col("line"), F.col("size")).alias("keys")).distinct()
+    dealt = keys.select("h", F.posexplode_outer("keys").alias("place", "key"))
+    dealt = dealt.select("key", "h", F.col("place").isin(_OWN).alias("own"))
+    group = Window.partitionBy("key")
+    several = F.min("h").over(group) < F.max("h").over(group)
+    marked = dealt.select("*", several.alias("several"), F.max("own").over(group).alias("any"))
+    found = marked.filter(F.col("several") & F.col("any"))
+    return found.groupBy("key", "h").agg(F.max("own").alias("own"))
 
 
 def edit_distance(long: Column, short: Column) -> Column:
@@ -205,34 +177,71 @@ def _banded(rows: Column, columns: Column) -> Column:
     return F.aggregate(places, begin, step, lambda s: s["edits"])
 
 
+def _pair(one: str, two: str) -> list[Column]:
+    """later and earlier of two lines."""
+    a, b = F.col(one), F.col(two)
+    swap = a["place"] < b["place"]
+    return [F.when(swap, b).otherwise(a).alias("later"), F.when(swap, a).otherwise(b).alias("earlier")]
+
+
+def _close(one: str, two: str) -> Column:
+    """Whether sizes and letters of two different lines leave room for EDITS edits."""
+    a, b = F.col(one), F.col(two)
+    other = (a["h"] != b["h"]) | (a["g"] != b["g"])
+    return other & (F.abs(a["size"] - b["size"]) <= EDITS) & (_apart(a["of"], b["of"]) <= 2 * EDITS)
+
+
+def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """h and g of the later line of each pair that is within EDITS edits."""
+    ends = [F.col(f"{end}.{c}").alias(f"{end}_{c}") for end in ("later", "earlier") for c in ("h", "g")]
+    pairs = pairs.select(*ends).distinct()
+    for end in ("later", "earlier"):
+        own = texts.select(*[F.col(c).alias(f"{end}_{c}") for c in ("h", "g", "line")])
+        pairs = pairs.join(own, [f"{end}_h", f"{end}_g"])
+    one, two = F.col("later_line"), F.col("earlier_line")
+    swap = F.char_length(one) < F.char_length(two)
+    long, short = F.when(swap, two).otherwise(one), F.when(swap, one).otherwise(two)
+    # Few rows with much work each: dealt anew, as their bytes alone would go to few tasks.
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.repartition(tasks, "later_h", "earlier_h")
+    linked = pairs.filter(edit_distance(long, short) <= EDITS)
+    return linked.select(F.col("later_h").alias("h"), F.col("later_g").alias("g")).distinct()
+
+
 def _near(lines: DataFrame) -> DataFrame:
-    """h and g of the lines that an earlier line within EDITS edits makes superfluous."""
-    pairs = settle(_candidates(lines))
-    wanted = settle(
-        pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
-    )
+    """h and g of the lines that an earlier line within EDITS edits makes superfluous.
+
+    One earlier line is enough. So the lines of a key first meet its earliest ones, and only those
+    that are near none of them meet all earlier lines of their keys.
+    """
+    met = settle(_met(lines))
+    wanted = settle(met.select("h").distinct())
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
     place = F.struct(F.col("doc_id"), F.col("body"), F.col("line_no"))
-    texts = settle(
-        lines.join(wanted, "h", "left_semi").groupBy("h", "g", "line").agg(F.min(place).alias("place"))
+    texts = lines.join(wanted, "h", "left_semi").groupBy("h", "g", "line").agg(F.min(place).alias("place"))
+    texts = settle(texts)
+    size, letters = F.char_length("line").alias("size"), _signature(F.col("line")).alias("of")
+    known = texts.select("h", F.struct("place", "h", "g", size, letters).alias("me"))
+    members = settle(met.join(known, "h").select("key", "own", "me"))
+
+    firsts = members.groupBy("key").agg(
+        F.min(F.when(F.col("own"), F.col("me"))).alias("indexed"), F.min("me").alias("first")
     )
-    one = texts.select(F.col("h").alias("a"), *[F.col(c).alias(f"a_{c}") for c in ("g", "line", "place")])
-    two = texts.select(F.col("h").alias("b"), *[F.col(c).alias(f"b_{c}") for c in ("g", "line", "place")])
-    both = pairs.join(one, "a").join(two, "b")
-    # A hash may stand for two texts of any length: the longer one is a.
-    swap = F.char_length("a_line") < F.char_length("b_line")
-    long = F.when(swap, F.col("b_line")).otherwise(F.col("a_line"))
-    short = F.when(swap, F.col("a_line")).otherwise(F.col("b_line"))
-    both = both.filter(F.char_length(long) - F.char_length(short) <= EDITS)
-    # Few rows with much work each: dealt anew, as their bytes alone would go to few tasks.
-    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    both = both.repartition(tasks, "a", "b")
-    linked = both.filter(edit_distance(long, short) <= EDITS)
-    later = F.col("a_place") > F.col("b_place")
-    return linked.select(
-        F.when(later, F.col("a")).otherwise(F.col("b")).alias("h"),
-        F.when(later, F.col("a_g")).otherwise(F.col("b_g")).alias("g"),
-    ).distinct()
+    heads = members.join(firsts, "key")
+    pairs = heads.filter(_close("me", "indexed")).select(*_pair("me", "indexed"))
+    pairs = pairs.union(heads.filter(F.col("own") & _close("me", "first")).select(*_pair("me", "first")))
+    gone = settle(_linked(pairs, texts))
+
+    ids = (F.col("me.h") == F.col("h")) & (F.col("me.g") == F.col("g"))
+    left = members.join(gone, ids, "left_anti").join(firsts, "key")
+    left = left.select(F.col("key").alias("of_key"), F.col("own").alias("open"), F.col("me").alias("one"), "indexed", "first")
+    one, me = F.col("one"), F.col("me")
+    earlier = (me["place"] < one["place"]) & (F.col("open") | F.col("own")) & _close("one", "me")
+    pairs = left.join(members, (F.col("of_key") == F.col("key")) & earlier)
+    # What has met before: the earliest indexed line, and of an indexed one the earliest line.
+    done = (me == F.col("indexed")) | (F.col("open") & (me == F.col("first")))
+    pairs = pairs.filter(~F.coalesce(done, F.lit(False))).select(one.alias("later"), me.alias("earlier"))
+    return gone.union(_linked(pairs, texts)).distinct()
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:

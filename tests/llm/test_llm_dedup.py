@@ -273,3 +273,15 @@ def test_stages_keep_columns_of_any_name(corpus):
     assert sorted(mixed.columns) == sorted(docs.columns) and mixed.count() == len(rows)
     row = mixed.first().asDict()
     assert row["a.b"] == "a.b" and row["__at"] == "__at" and isinstance(row["mix_slot"], int)
+
+
+def test_copies_of_a_line_are_not_paired_with_each_other(spark, monkeypatch):
+    """Many forms of one line meet the earliest line, not each other."""
+    base, forms = "one line that stands in very many forms here", 300
+    changed = [base[: 20 + k % 20] + chr(0x100 + k) + base[21 + k % 20 :] for k in range(forms)]
+    rows = [(0, base), *((k + 1, line) for k, line in enumerate(changed))]
+    met, linked = [], line_dedup._linked
+    monkeypatch.setattr(line_dedup, "_linked", lambda pairs, texts: met.append(pairs.count()) or linked(pairs, texts))
+    found = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found if r.n_dropped} == set(range(1, forms + 1))
+    assert sum(met) < 30 * forms
