@@ -198,12 +198,13 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     for end in ("later", "earlier"):
         own = texts.select(*[F.col(c).alias(f"{end}_{c}") for c in ("h", "g", "line")])
         pairs = pairs.join(own, [f"{end}_h", f"{end}_g"])
+    # Few rows with much work each: dealt anew, as their bytes alone would go to few tasks. They are
+    # written, as their check would else move in front of the dealing.
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = settle(pairs.repartition(tasks, "later_h", "earlier_h"))
     one, two = F.col("later_line"), F.col("earlier_line")
     swap = F.char_length(one) < F.char_length(two)
     long, short = F.when(swap, two).otherwise(one), F.when(swap, one).otherwise(two)
-    # Few rows with much work each: dealt anew, as their bytes alone would go to few tasks.
-    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = pairs.repartition(tasks, "later_h", "earlier_h")
     linked = pairs.filter(edit_distance(long, short) <= EDITS)
     return linked.select(F.col("later_h").alias("h"), F.col("later_g").alias("g")).distinct()
 
@@ -211,35 +212,39 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _near(lines: DataFrame) -> DataFrame:
     """h and g of the lines that an earlier line within EDITS edits makes superfluous.
 
-    One earlier line is enough. So the lines of a key first meet its earliest ones, and only those
-    that are near none of them meet all earlier lines of their keys.
+    One earlier line is enough. So the lines of a key first meet its earliest ones and its most
+    frequent one, and only those that are near no earlier of them meet all earlier lines of their keys.
     """
     met = settle(_met(lines))
     wanted = settle(met.select("h").distinct())
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
     place = F.struct(F.col("doc_id"), F.col("body"), F.col("line_no"))
-    texts = lines.join(wanted, "h", "left_semi").groupBy("h", "g", "line").agg(F.min(place).alias("place"))
-    texts = settle(texts)
+    texts = lines.join(wanted, "h", "left_semi").groupBy("h", "g", "line")
+    texts = settle(texts.agg(F.min(place).alias("place"), F.count("*").alias("times")))
     size, letters = F.char_length("line").alias("size"), _signature(F.col("line")).alias("of")
-    known = texts.select("h", F.struct("place", "h", "g", size, letters).alias("me"))
-    members = settle(met.join(known, "h").select("key", "own", "me"))
+    known = texts.select("h", "times", F.struct("place", "h", "g", size, letters).alias("me"))
+    members = settle(met.join(known, "h").select("key", "own", "times", "me"))
 
     firsts = members.groupBy("key").agg(
-        F.min(F.when(F.col("own"), F.col("me"))).alias("indexed"), F.min("me").alias("first")
+        F.min(F.when(F.col("own"), F.col("me"))).alias("indexed"),
+        F.min("me").alias("first"),
+        F.max(F.when(F.col("own"), F.struct("times", "me")))["me"].alias("common"),
     )
+    firsts = settle(firsts)
     heads = members.join(firsts, "key")
     pairs = heads.filter(_close("me", "indexed")).select(*_pair("me", "indexed"))
     pairs = pairs.union(heads.filter(F.col("own") & _close("me", "first")).select(*_pair("me", "first")))
+    pairs = pairs.union(heads.filter(_close("me", "common")).select(*_pair("me", "common")))
     gone = settle(_linked(pairs, texts))
 
     ids = (F.col("me.h") == F.col("h")) & (F.col("me.g") == F.col("g"))
     left = members.join(gone, ids, "left_anti").join(firsts, "key")
-    left = left.select(F.col("key").alias("of_key"), F.col("own").alias("open"), F.col("me").alias("one"), "indexed", "first")
+    left = left.select(F.col("key").alias("of_key"), F.col("own").alias("open"), F.col("me").alias("one"), "indexed", "first", "common")
     one, me = F.col("one"), F.col("me")
     earlier = (me["place"] < one["place"]) & (F.col("open") | F.col("own")) & _close("one", "me")
     pairs = left.join(members, (F.col("of_key") == F.col("key")) & earlier)
-    # What has met before: the earliest indexed line, and of an indexed one the earliest line.
-    done = (me == F.col("indexed")) | (F.col("open") & (me == F.col("first")))
+    # What has met before: two indexed lines, and of an indexed one the earliest line.
+    done = (me == F.col("indexed")) | (me == F.col("common")) | (F.col("open") & (me == F.col("first")))
     pairs = pairs.filter(~F.coalesce(done, F.lit(False))).select(one.alias("later"), me.alias("earlier"))
     return gone.union(_linked(pairs, texts)).distinct()
 
