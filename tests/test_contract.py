@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime
 
 import compare
 import pytest
 
 import __spark_entry__ as contract
-from contract import oracle, queries
+from contract import fixture, oracle, queries
 from contract.queries import Inputs
 from skymart.plans import marts, reports
 
@@ -97,3 +98,33 @@ def test_marts_are_read_in_order(spark):
         values = [r[reports.MART_ORDER[name]] for r in reports.in_order(mart, name).collect()]
         known = [v for v in values if v is not None]
         assert known and values == sorted(known, reverse=True) + [None] * (len(values) - len(known))
+
+
+def _of_small_tables(spark, folder):
+    """Tables of one flight a part, with a customer and a supplier that none has."""
+    def write(name, rows, columns):
+        spark.createDataFrame(rows, columns).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+
+    lines = [(k % 40, k, k % 5, k % 3, datetime(1995, 1 + k % 12, 3)) for k in range(200)]
+    write("lineitem", lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_shipdate timestamp_ntz")
+    write("orders", [(k, k % 7) for k in range(40)], "o_orderkey long, o_custkey long")
+    write("customer", [(k, k % 4) for k in range(6)], "c_custkey long, c_nationkey int")
+    write("supplier", [(k, k % 4) for k in range(4)], "s_suppkey long, s_nationkey int")
+    return str(folder)
+
+
+def test_flights_are_derived_in_methods_that_the_jvm_compiles(spark, tmp_path, capsys):
+    sf_dir = _of_small_tables(spark, tmp_path)
+    plain = fixture._query(spark, sf_dir, "flight_raw", "lines", "delayed")
+    for once in (False, True):
+        flights = fixture.flight_raw(spark, sf_dir, once)
+        assert flights.schema == plain.schema
+        assert sorted(map(str, flights.collect())) == sorted(map(str, plain.collect()))
+        flights.explain("codegen")
+        sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+        assert sizes and max(sizes) < 8000
+
+
+def test_flights_read_several_times_are_joined_once(spark, tmp_path):
+    flights = fixture.flight_raw(spark, _of_small_tables(spark, tmp_path), once=True)
+    assert "Join" not in flights._jdf.queryExecution().optimizedPlan().toString()
