@@ -6,11 +6,11 @@ format and its surroundings, and those that pass their kind's check and the cali
 join the base spans, where they overlap none of them and no better candidate. So numbers that the rules lose
 because they stand side by side are found, and decoys are left alone.
 
-The trees learn from at most TRAIN_CANDIDATES candidates of the corpus (a documented sample: the
-smallest hashes, as many of each kind and label), labelled by the rules' checks applied to the
-candidate alone; every fourth is kept for calibration, where a candidate counts for all that its
-hash stands for. The fitted trees become one SQL expression, so spans are found row by row:
-nothing is shuffled and each text is read whole.
+The trees learn from every candidate of the corpus, labelled by the rules' checks applied to the
+candidate alone; every fourth (by its hash) is kept for calibration. Candidates with equal features
+are one row with their number, so only those rows are shuffled, and trees and thresholds come from
+all of them; kinds and labels are balanced by weights. The fitted trees become one SQL expression,
+so spans are found row by row: nothing is shuffled and each text is read whole.
 
 Patterns are written so that Java matches them in linear time and without recursion: separators
 that the rules allow are marked first, then a run is a loop over one character class.
@@ -29,8 +29,16 @@ from pyspark.sql.window import Window
 from skymart.cluster import settle
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_CANDIDATES = 20_000
-RANK_PARTS = 64
+#: Weight that the training candidates of a kind and label have together, if they are more than that.
+BALANCE = 1_875
+#: A leaf holds at least so much weight, as far as that is less than LEAST_SHARE of all.
+LEAST_WEIGHT, LEAST_SHARE = 3.0, 0.1
+#: Values of a feature up to which the trees may split between any two of them.
+VALUES = 512
+#: Rows of equal candidates that a task learns from.
+TASK_VECTORS = 50_000
+#: Steps of a margin of one that thresholds tell apart.
+MARGIN_STEPS = 1024
 #: A kind with fewer right candidates in its calibration part is accepted from even odds on.
 FEW = 10
 #: Least share of right candidates beyond a kind's threshold, on the calibration part.
@@ -313,55 +321,64 @@ class Scorer:
         return score >= F.element_at(F.array(*map(F.lit, self.thresholds)), kind + 1)
 
 
-def fit(docs: DataFrame) -> Scorer | None:
-    """Learn from a bounded sample of candidates of each kind and label; None without any."""
+def _counted(docs: DataFrame) -> DataFrame:
+    """kind, label, held, features and times of all candidates; held ones are kept for calibration."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     candidates = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.explode(_proposed(text, False)).alias("c")
     )
     passes = F.coalesce(*[F.when(F.col("c.kind") == k, f(F.col("c.found"))) for k, f in enumerate(_CHECKS)])
     usual = (F.col("c.kind") != 2) | F.col("c.found").rlike(_USUAL_CARD)
-    sample = candidates.select(
-        F.xxhash64("doc_id", "c.kind", "c.start", "c.stop").alias("order"),
+    order = F.xxhash64("doc_id", "c.kind", "c.start", "c.stop")
+    vectors = candidates.select(
         F.col("c.kind").alias("kind"),
-        "c",
         (passes & usual).cast("double").alias("label"),
+        (order % 4 == 0).alias("held"),
+        _features(F.col("c")).alias("features"),
     )
-    most = TRAIN_CANDIDATES // (2 * len(KINDS))
-    for parts in (RANK_PARTS, 1):
-        part = F.pmod("order", F.lit(parts))
-        window = Window.partitionBy("kind", "label", part).orderBy("order", "c")
-        sample = sample.withColumn("rank", F.row_number().over(window))
-        sample = sample.filter(F.col("rank") <= most).drop("rank")
-    sample = sample.select("order", "kind", _features(F.col("c")).alias("features"), "label")
-    rows = sorted((r.order, r.kind, r.features, r.label) for r in sample.collect())
-    if not rows:
+    return vectors.groupBy("kind", "label", "held", "features").agg(F.count("*").alias("times"))
+
+
+def fit(docs: DataFrame) -> Scorer | None:
+    """Learn from all candidates of all texts; None without any.
+
+    Rows of equal candidates stay with the tasks: the driver gets the counts of kinds and labels, the
+    trees, and the counts of each kind's margins in steps. (Beyond VALUES ** 2 rows the places where
+    the trees may split are found by Spark's learner from so many of them; it weighs all rows.)
+    """
+    vectors = settle(_counted(docs))
+    totals = vectors.groupBy("kind", "label").agg(
+        F.count("*").alias("rows"), F.sum(F.when(~F.col("held"), F.col("times"))).alias("train")
+    ).collect()
+    if not totals:
         return None
-    if len({r[3] for r in rows if r[0] % 4}) < 2:
+    trained = {(r.kind, r.label): r.train for r in totals if r.train}
+    if len({label for _, label in trained}) < 2:
         return Scorer(None, [0.0] * len(KINDS))
-    held = docs.sparkSession.createDataFrame(
-        rows, "order long, kind int, features array<double>, label double"
-    ).coalesce(2)
-    held = held.withColumn("features", array_to_vector("features")).cache()
-    try:
-        model = GBTClassifier(
-            maxIter=ROUNDS, maxDepth=DEPTH, seed=1, minInstancesPerNode=3
-        ).fit(held.filter("order % 4 <> 0"))
-        judged = model.transform(held.filter("order % 4 = 0"))
-        # A model's raw prediction for a class is twice the margin of its trees.
-        margin = vector_to_array("rawPrediction")[1] / 2
-        judged = judged.select("kind", "label", margin.alias("margin")).collect()
-    finally:
-        held.unpersist()
-    weights = {}
-    for kind, label in {(r[1], r[3]) for r in rows}:
-        orders = [r[0] for r in rows if (r[1], r[3]) == (kind, label)]
-        # A full sample holds the smallest hashes: this part of all.
-        weights[kind, label] = 1.0 if len(orders) < most else 2.0**64 / (orders[-1] + 2.0**63 + 1)
+    weight = F.coalesce(
+        *[
+            F.when((F.col("kind") == kind) & (F.col("label") == label), F.lit(min(1.0, BALANCE / times)))
+            for (kind, label), times in sorted(trained.items())
+        ]
+    )
+    # Dealt by their values and sorted, so that equal tables give equal trees.
+    tasks = max(2, -(-sum(r.rows for r in totals) // TASK_VECTORS))
+    vectors = vectors.repartition(tasks, "kind", "features").sortWithinPartitions("kind", "features", "label", "held")
+    vectors = vectors.withColumn("weight", F.col("times") * weight)
+    vectors = vectors.withColumn("features", array_to_vector("features"))
+    least = LEAST_WEIGHT / sum(min(BALANCE, times) for times in trained.values())
+    model = GBTClassifier(
+        maxIter=ROUNDS, maxDepth=DEPTH, seed=1, weightCol="weight", maxBins=VALUES,
+        minWeightFractionPerNode=min(LEAST_SHARE, least),
+    ).fit(vectors.filter(~F.col("held")))
+    judged = model.transform(vectors.filter("held"))
+    # A model's raw prediction for a class is twice the margin of its trees.
+    step = F.floor(vector_to_array("rawPrediction")[1] / 2 * MARGIN_STEPS).alias("step")
+    judged = judged.groupBy("kind", "label", step).agg(F.sum("times").alias("times")).collect()
     return Scorer(
         model,
         [
-            _threshold([(r.margin, r.label, weights[r.kind, r.label]) for r in judged if r.kind == k])
+            _threshold([(r.step / MARGIN_STEPS, r.label, float(r.times)) for r in judged if r.kind == k])
             for k in range(len(KINDS))
         ],
     )
@@ -372,7 +389,7 @@ def _threshold(judged: list[tuple[float, float, float]]) -> float:
 
     judged are margins, labels and weights; with FEW right ones it is even odds.
     """
-    if sum(label == 1.0 for _, label, _ in judged) < FEW:
+    if sum(weight for _, label, weight in judged if label == 1.0) < FEW:
         return 0.0
     best, right, every = float("inf"), 0.0, 0.0
     ordered = sorted(judged, reverse=True)

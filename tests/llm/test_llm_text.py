@@ -279,6 +279,26 @@ def test_thresholds_of_few_candidates():
     assert personal_data._threshold([*right, (1.0, 0.0, 9.0)]) == float("inf")
 
 
+def test_every_candidate_is_learned_from(spark, monkeypatch):
+    """More addresses than a sample would hold: each is trained on or, every fourth, judged by."""
+    rows = [(i, " ".join(f"u{j}@x{i}.com" for j in range(100)) + " a@b 10.0.0.999") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    judged, trained = [], []
+    threshold, learner = personal_data._threshold, personal_data.GBTClassifier.fit
+    monkeypatch.setattr(personal_data, "_threshold", lambda seen: judged.append(seen) or threshold(seen))
+    monkeypatch.setattr(
+        personal_data.GBTClassifier, "fit", lambda self, data: trained.append(data) or learner(self, data)
+    )
+    personal_data.fit(docs)
+    places = [(i, 0, m.start(), m.end()) for i, text in rows for m in re.finditer(r"(?<!\S)\S+@\S+", text)]
+    places += [(i, 1, m.start(), m.end()) for i, text in rows for m in re.finditer(r"10\.0\.0\.999", text)]
+    spans = spark.createDataFrame(places, "doc_id long, kind int, start int, stop int")
+    held = spans.filter(F.xxhash64(*spans.columns) % 4 == 0).groupBy("kind").count().collect()
+    sums = {kind: sum(weight for *_, weight in seen) for kind, seen in enumerate(judged) if seen}
+    assert sums == {r.kind: r["count"] for r in held}
+    assert trained[0].agg(F.sum("times")).first()[0] == len(places) - sum(sums.values())
+
+
 def test_numbers_inside_longer_runs(spark):
     """Every start and end of a group of digits is tried where a whole run fails its check."""
     cases = {
