@@ -10,8 +10,8 @@ more than the edits before and behind it allow. So a line is indexed under each
 (with its length), and looked up under those substrings of it that can be a segment of a line of
 the same or a smaller length. Lines that share no key go first. Of the rest, the lines of a key meet
 its earliest lines, and those that are near none of them meet all earlier ones. A pair is let through
-only if its letter counts differ by at most two for each edit, and is verified on its texts with a
-banded bit-parallel edit distance.
+only if the character counts of the lines, and those of their beginnings of several lengths, differ by
+at most two for each edit, and is verified on its texts with a banded bit-parallel edit distance.
 """
 
 from __future__ import annotations
@@ -27,8 +27,12 @@ from skymart.llm.arrow import fresh, named
 
 EDITS = 2
 NEAR_CHARS = 20
-#: Letters whose counts a line's signature holds, one byte each.
-LETTERS = "aeinorst"
+#: Groups of characters whose counts a signature holds, four bits each; others are not counted.
+GROUPS = (*"aeinorst", "h", "dl", "cmu", "fgwy", "bjkpqvxz", "01234", "56789", " ,-.")
+#: Lengths of a line's beginnings that have a signature each, besides the whole line.
+BEGINNINGS = (24, 48, 96, 160, 240, 320, 416, 512)
+#: Four bits for a count modulo 8: as many of them differ as the counts do, the short way round.
+_RING = sum(code << 4 * k for k, code in enumerate((0, 1, 3, 7, 15, 14, 12, 8)))
 #: Candidate lines are fetched by broadcasting their hashes up to this many (16 bytes each).
 BROADCAST_LINES = 500_000
 _BAND = 2 * EDITS + 1
@@ -79,25 +83,35 @@ def _keys(line: Column, length: Column) -> Column:
     return F.array(*[key(*probe) for probe in _probes()])
 
 
-def _signature(line: Column) -> Column:
-    """Counts of the LETTERS modulo 128, packed in one number."""
+def _marked(line: Column) -> Column:
+    """The line with a letter for each counted character, from A on, one for each of GROUPS."""
+    marks = "".join(chr(ord("A") + k) * len(group) for k, group in enumerate(GROUPS))
+    letters = "".join(GROUPS)
+    return F.translate(line, letters + letters.upper(), marks + marks)
 
-    def count(letter: str) -> Column:
-        return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
 
-    parts = [F.shiftleft((count(x) % 128).cast("long"), 8 * k) for k, x in enumerate(reversed(LETTERS))]
-    return reduce(lambda a, b: a.bitwiseOR(b), parts)
+def _signature(marked: Column) -> Column:
+    """For each of BEGINNINGS and the whole line, counts of the GROUPS packed in one number.
+
+    An edit changes two counts of a beginning by one at most: that of a character that comes in
+    there, and that of one that goes or is moved across its end.
+    """
+
+    def counts(part: Column) -> Column:
+        bits = []
+        for k in range(len(GROUPS)):
+            count = F.octet_length(part) - F.octet_length(F.replace(part, F.lit(chr(ord("A") + k)), F.lit("")))
+            code = F.call_function("shiftright", F.lit(_RING), (count % 8 * 4).cast("int"))
+            bits.append(F.shiftleft(code.cast("long").bitwiseAND(F.lit(15).cast("long")), 4 * k))
+        return reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+    return F.array(*[counts(F.substring(marked, 1, length)) for length in BEGINNINGS], counts(marked))
 
 
-def _apart(a: Column, b: Column) -> Column:
-    """A lower bound of twice the edits between lines with these signatures."""
-    total = F.lit(0)
-    for k in range(len(LETTERS)):
-        x = F.shiftright(a, 8 * k).bitwiseAND(F.lit(127).cast("long"))
-        y = F.shiftright(b, 8 * k).bitwiseAND(F.lit(127).cast("long"))
-        gap = F.abs(x - y)
-        total = total + F.least(gap, 128 - gap)
-    return total
+def _alike(a: Column, b: Column) -> Column:
+    """Whether these signatures leave room for EDITS edits; more of a line differs in longer beginnings."""
+    places = reversed(range(len(BEGINNINGS) + 1))
+    return reduce(lambda x, y: x & y, [F.bit_count(a[k].bitwiseXOR(b[k])) <= 2 * EDITS for k in places])
 
 
 def _met(lines: DataFrame) -> DataFrame:
@@ -188,7 +202,7 @@ def _close(one: str, two: str) -> Column:
     """Whether sizes and letters of two different lines leave room for EDITS edits."""
     a, b = F.col(one), F.col(two)
     other = (a["h"] != b["h"]) | (a["g"] != b["g"])
-    return other & (F.abs(a["size"] - b["size"]) <= EDITS) & (_apart(a["of"], b["of"]) <= 2 * EDITS)
+    return other & (F.abs(a["size"] - b["size"]) <= EDITS) & _alike(a["of"], b["of"])
 
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -221,8 +235,8 @@ def _near(lines: DataFrame) -> DataFrame:
     place = F.struct(F.col("doc_id"), F.col("body"), F.col("line_no"))
     texts = lines.join(wanted, "h", "left_semi").groupBy("h", "g", "line")
     texts = settle(texts.agg(F.min(place).alias("place"), F.count("*").alias("times")))
-    size, letters = F.char_length("line").alias("size"), _signature(F.col("line")).alias("of")
-    known = texts.select("h", "times", F.struct("place", "h", "g", size, letters).alias("me"))
+    marked = texts.withColumn("size", F.char_length("line")).withColumn("marked", _marked(F.col("line")))
+    known = marked.select("h", "times", F.struct("place", "h", "g", "size", _signature(F.col("marked")).alias("of")).alias("me"))
     members = settle(met.join(known, "h").select("key", "own", "times", "me"))
 
     firsts = members.groupBy("key").agg(
@@ -241,11 +255,16 @@ def _near(lines: DataFrame) -> DataFrame:
     left = members.join(gone, ids, "left_anti").join(firsts, "key")
     left = left.select(F.col("key").alias("of_key"), F.col("own").alias("open"), F.col("me").alias("one"), "indexed", "first", "common")
     one, me = F.col("one"), F.col("me")
-    earlier = (me["place"] < one["place"]) & (F.col("open") | F.col("own")) & _close("one", "me")
-    pairs = left.join(members, (F.col("of_key") == F.col("key")) & earlier)
+
+    def same(name: str) -> Column:
+        other = F.col(name)
+        return F.coalesce((me["h"] == other["h"]) & (me["g"] == other["g"]), F.lit(False))
+
     # What has met before: two indexed lines, and of an indexed one the earliest line.
-    done = (me == F.col("indexed")) | (me == F.col("common")) | (F.col("open") & (me == F.col("first")))
-    pairs = pairs.filter(~F.coalesce(done, F.lit(False))).select(one.alias("later"), me.alias("earlier"))
+    done = same("indexed") | same("common") | (F.col("open") & same("first"))
+    earlier = (F.col("open") | F.col("own")) & _close("one", "me") & (me["place"] < one["place"]) & ~done
+    pairs = left.join(members, (F.col("of_key") == F.col("key")) & earlier)
+    pairs = pairs.select(one.alias("later"), me.alias("earlier"))
     return gone.union(_linked(pairs, texts)).distinct()
 
 

@@ -285,3 +285,37 @@ def test_copies_of_a_line_are_not_paired_with_each_other(spark, monkeypatch):
     found = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id for r in found if r.n_dropped} == set(range(1, forms + 1))
     assert sum(met) < 30 * forms
+
+
+def test_signatures_leave_room_for_every_near_line(spark):
+    draw = random.Random(8)
+    pairs = []
+    for _ in range(600):
+        line = "".join(draw.choice("ab eZsQ7é😀.İxyH") for _ in range(draw.choice([20, 24, 25, 60, 97, 400, 600])))
+        pairs.append((line, edited(draw, line, draw.randrange(1, 3))))
+    marked = spark.createDataFrame(pairs, "a string, b string").select(
+        *[line_dedup._signature(line_dedup._marked(F.col(c))).alias(c) for c in "ab"]
+    )
+    assert marked.filter(line_dedup._alike(F.col("a"), F.col("b"))).count() == len(pairs)
+
+
+def test_lines_of_one_key_that_are_not_near_are_not_paired(spark, monkeypatch):
+    """Forms of one line that differ by a word each at any place share keys, and few are verified."""
+    draw, forms = random.Random(4), 160
+    base = " ".join(draw.choice(WORDS_OF_LINES) for _ in range(60))
+    rows = []
+    for k in range(forms):
+        at, word = draw.randrange(len(base)), "".join(draw.choice("bcdghklm") for _ in range(4))
+        rows.append((k, base[:at] + word + base[at:]))
+    rows += [(forms + k, edited(draw, rows[k][1], 2)) for k in range(20)]
+    met, linked = [], line_dedup._linked
+    monkeypatch.setattr(line_dedup, "_linked", lambda pairs, texts: met.append(pairs.count()) or linked(pairs, texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id for r in line_dedup.line_report(docs).collect() if r.n_dropped}
+    one, two = (docs.select(F.col("doc_id").alias(f"d{x}"), F.col("text").alias(f"t{x}")) for x in "12")
+    near = one.join(two, (F.col("d2") < F.col("d1")) & (F.levenshtein("t1", "t2") <= line_dedup.EDITS))
+    assert found == {r.d1 for r in near.select("d1").collect()} >= set(range(forms, forms + 20))
+    assert sum(met) < 40 * forms
+
+
+WORDS_OF_LINES = ["the", "one", "tion", "in", "on", "hand", "er", "thor", "is", "sheat"]
