@@ -14,8 +14,10 @@ have a Jaccard similarity of at least 0.8; the result is the component of links
    group is dropped; the remaining groups are expanded into their members, and the members of a
    group are a list of their own.
 4. A list isn't expanded into all pairs. In each round a few of its members meet all members of
-   other components whose size and place in the list allow a link, and are then done: first some
-   of its largest component, then those of its smallest ones. Pairs are verified on whole sets,
+   other components whose size, place in the list and bits allow a link, and are then done: first
+   some of its largest component, then those of its smallest ones, more in each round. The bits of
+   a set are the parities of its shingles by hash, which bound how many shingles differ; so sets
+   that share shingles but don't link become few pairs. Pairs are verified on whole sets,
    links merge components, and a list is finished when all its members are in one component. So
    every link between components is found, and a group of copies takes few pairs for each member.
 
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +50,12 @@ PERCENT = 80
 CHUNK_DOCS = 2000
 CHUNK_SHINGLES = 1 << 20
 #: Members of a list's largest component that meet the others, in the first rounds; then, in each
-#: round, so many members of its smallest components.
-LARGE_PIVOTS = (1, 3, 9)
-SMALL_PIVOTS = 32
+#: round, members of its smallest components: so many, and MORE_PIVOTS times the last ones.
+LARGE_PIVOTS = (1, 6)
+SMALL_PIVOTS = 64
+MORE_PIVOTS = 8
+#: Bits of a set, in numbers of 64.
+BITS = 256
 #: Documents, and pairs to verify, are fetched by broadcasting ids up to this many.
 BROADCAST_IDS = 1_000_000
 _MANY = 65535
@@ -88,6 +94,15 @@ def _least(size: np.ndarray | int) -> np.ndarray | int:
     return -(-PERCENT * size // 100)
 
 
+def _bits(shingles: np.ndarray) -> list[int]:
+    """Whether the set holds an odd number of shingles of each of BITS values of their hashes.
+
+    A shingle that two sets do not share changes one of these bits.
+    """
+    odd = np.bincount((shingles & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 # --- 1. sets whose shingles occur elsewhere ---
 
 
@@ -228,9 +243,9 @@ def _sets(docs: DataFrame, listed: DataFrame) -> DataFrame:
         for batch in batches:
             for own in shingle_sets(batch):
                 if len(own):
-                    yield _signature(own), len(own), own.tobytes()
+                    yield _signature(own), len(own), own.tobytes(), _bits(own)
 
-    sets = map_rows(chosen, rows, "signature binary, size long, shingles binary")
+    sets = map_rows(chosen, rows, "signature binary, size long, shingles binary, bits array<long>")
     sets = sets.dropDuplicates(["signature"]).withColumn("node", F.monotonically_increasing_id())
     return settle(sets.withColumn("chunk", F.shiftright("node", 9)))
 
@@ -358,12 +373,16 @@ def _lists(indexed: DataFrame) -> DataFrame:
 
 
 def _may_link():
-    """Whether sizes and places leave room for a link of a member and a pivot (columns p_*)."""
+    """Whether sizes, places and bits leave room for a link of a member and a pivot (columns p_*)."""
     size, place = F.col("size"), F.col("place")
     p_size, p_place = F.col("p_size"), F.col("p_place")
     most = F.least(place, p_place) + 1 + F.least(size - place - 1, p_size - p_place - 1)
     sizes = 100 * F.least(size, p_size) >= PERCENT * F.greatest(size, p_size)
-    return sizes & ((100 + PERCENT) * most >= PERCENT * (size + p_size))
+    places = (100 + PERCENT) * most >= PERCENT * (size + p_size)
+    apart = [F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("p_bits")[k])) for k in range(BITS // 64)]
+    # Linked sets share all but 100 - PERCENT of a hundred shingles of their union.
+    bits = (100 + PERCENT) * reduce(lambda a, b: a + b, apart) <= (100 - PERCENT) * (size + p_size)
+    return sizes & places & bits
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -393,12 +412,13 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _components(lists: DataFrame, sets: DataFrame) -> DataFrame:
     """node and label: sets of one component have one label."""
     labels = settle_narrow(sets.select("node", F.col("node").alias("label")))
+    bits = settle_narrow(sets.select("node", "bits"))
     lists, number, links = settle_narrow(lists), 0, None
     while True:
         large = number < len(LARGE_PIVOTS)
-        pivots = LARGE_PIVOTS[number] if large else SMALL_PIVOTS
+        pivots = LARGE_PIVOTS[number] if large else SMALL_PIVOTS * MORE_PIVOTS ** (number - len(LARGE_PIVOTS))
         sizes = labels.groupBy("label").agg(F.count("*").alias("weight"))
-        live = settle_narrow(lists.join(labels.join(sizes, "label"), "node"))
+        live = settle_narrow(lists.join(labels.join(sizes, "label").join(bits, "node"), "node"))
         spans = live.groupBy("list").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         weight = F.desc("weight") if large else F.asc("weight")
         order = (weight, F.xxhash64("node", F.lit(number)), "node")
@@ -406,7 +426,7 @@ def _components(lists: DataFrame, sets: DataFrame) -> DataFrame:
         heads = live.withColumn("rank", rank).filter(F.col("rank") <= pivots)
         heads = heads.join(spans.filter("low < high"), "list", "left_semi")
         heads = settle_narrow(
-            heads.select("list", *[F.col(c).alias(f"p_{c}") for c in ("node", "size", "place", "label")])
+            heads.select("list", *[F.col(c).alias(f"p_{c}") for c in ("node", "size", "place", "label", "bits")])
         )
         if heads.isEmpty():
             return merged(labels, links) if links is not None else labels

@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -99,6 +100,39 @@ def test_near_duplicates_in_a_large_group(spark, monkeypatch):
     assert sorted(found, key=key) == components(rows)
 
 
+def test_near_duplicates_that_share_most_but_do_not_link(spark, monkeypatch):
+    """Documents that differ from one text by two words each are in each other's lists, and are no pairs."""
+    draw = random.Random(2)
+    words = [f"w{k}" for k in range(100)]
+    rows = []
+    for i in range(60):
+        own = list(words)
+        for at in draw.sample(range(5, 95, 5), 2):
+            own[at] = f"n{i}x{at}"
+        rows.append((i, " ".join(own), None))
+    rows += [(100, rows[7][1].replace("w99", "end"), None), (101, rows[30][1].replace("w0 ", "begin "), None)]
+    met, linked = [], shingle_join._links
+    monkeypatch.setattr(shingle_join, "_links", lambda pairs, sets: met.append(pairs.count()) or linked(pairs, sets))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = [tuple(r) for r in shingle_join.near_duplicates(docs).collect()]
+    assert sorted(found, key=key) == components(rows)
+    assert sum(met) < 3 * len(rows)
+
+
+def test_bits_leave_room_for_every_link():
+    """Sets that link differ in no more bits than shingles, and all their shingles but few are shared."""
+    draw = np.random.default_rng(1)
+    for size in (1, 4, 9, 90, 400, 3000):
+        one = np.unique(draw.integers(0, 2**64, size, np.uint64))
+        own = len(one) // 9 // 2
+        other = np.concatenate([one[own:], draw.integers(0, 2**64, own, np.uint64)])
+        bits = [np.array(shingle_join._bits(x)).view(np.uint64) for x in (one, other)]
+        apart = sum(int(x).bit_count() for x in bits[0] ^ bits[1])
+        assert len(bits[0]) == shingle_join.BITS // 64 and apart <= len(set(one.tolist()) ^ set(other.tolist()))
+        if size == 90:
+            assert apart > 0
+
+
 def test_near_duplicates_of_chunks_without_words(spark):
     """Partitions of null and blank texts only, and an empty document left behind a full chunk."""
     rows = [(i, None if i % 3 else " \n ", None) for i in range(6)]
