@@ -12,12 +12,13 @@ have a Jaccard similarity of at least 0.8; the result is the component of links
    prefix of a set is so long that linked sets share a prefix shingle.
 3. Sets with identical prefix and size form one group. Only groups are indexed; a shingle with one
    group is dropped; the remaining groups are expanded into their members, and the members of a
-   group are a list of their own.
+   group are a list of their own. Of lists with the same members one stays.
 4. A list isn't expanded into all pairs. In each round a few of its members meet all members of
    other components whose size, place in the list and bits allow a link, and are then done: first
    some of its largest component, then those of its smallest ones, more in each round. The bits of
    a set are the parities of its shingles by hash, which bound how many shingles differ; so sets
-   that share shingles but don't link become few pairs. Pairs are verified on whole sets,
+   that share shingles but don't link become few pairs. Members that share several lists meet in
+   the first of those in which one of them meets all, not in each. Pairs are verified on whole sets,
    links merge components, and a list is finished when all its members are in one component. So
    every link between components is found, and a group of copies takes few pairs for each member.
 
@@ -55,7 +56,9 @@ LARGE_PIVOTS = (1, 6)
 SMALL_PIVOTS = 64
 MORE_PIVOTS = 8
 #: Bits of a set, in numbers of 64.
-BITS = 256
+BITS = 1024
+#: Lists of a member, the first in order, by which it is told where a pair has met.
+FIRST_LISTS = 32
 #: Documents, and pairs to verify, are fetched by broadcasting ids up to this many.
 BROADCAST_IDS = 1_000_000
 _MANY = 65535
@@ -366,7 +369,20 @@ def _lists(indexed: DataFrame) -> DataFrame:
     inside = of_group.filter("members > 1").select(
         F.xxhash64("leader", F.lit("group")).alias("list"), "node", "size", F.lit(0).alias("place")
     )
-    return expanded.union(inside)
+    return _one_of_equal(settle(expanded.union(inside)))
+
+
+def _one_of_equal(lists: DataFrame) -> DataFrame:
+    """lists without those that have the same members as another; of these the smallest stays.
+
+    Its places bound the overlap of any two members as well as another's, as they share its shingle.
+    """
+    one, two = F.xxhash64("node"), F.xxhash64(F.lit(1), "node")
+    members = lists.groupBy("list").agg(
+        F.count("*").alias("members"), F.bit_xor(one).alias("one"), F.bit_xor(two).alias("two")
+    )
+    kept = members.groupBy("members", "one", "two").agg(F.min("list").alias("list"))
+    return lists.join(kept.select("list"), "list", "left_semi")
 
 
 # --- 4. links between components ---
@@ -385,6 +401,25 @@ def _may_link():
     return sizes & places & bits
 
 
+def _first_lists(rows: DataFrame, node: str, name: str) -> DataFrame:
+    """The first lists of every node, in order."""
+    lists = F.slice(F.sort_array(F.collect_list("list")), 1, FIRST_LISTS)
+    return rows.groupBy(node).agg(lists.alias(name))
+
+
+def _pairs(live: DataFrame, heads: DataFrame) -> DataFrame:
+    """The pairs (a, b) of a list's member and pivot that may link, mostly once.
+
+    A pair that meets in an earlier list, where it is let through if it may link, is no pair here.
+    """
+    live = live.join(_first_lists(live, "node", "own"), "node")
+    heads = heads.join(_first_lists(heads, "p_node", "p_own"), "p_node")
+    first = F.array_min(F.array_intersect("own", "p_own"))
+    here = F.coalesce(first, F.col("list")) >= F.col("list")
+    met = live.join(heads, "list").filter((F.col("label") != F.col("p_label")) & _may_link() & here)
+    return met.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"))
+
+
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
     few = pairs.count() <= BROADCAST_IDS
@@ -430,13 +465,8 @@ def _components(lists: DataFrame, sets: DataFrame) -> DataFrame:
         )
         if heads.isEmpty():
             return merged(labels, links) if links is not None else labels
-        pairs = (
-            live.join(heads, "list")
-            .filter((F.col("label") != F.col("p_label")) & _may_link())
-            .select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"))
-            .distinct()
-        )
-        labels, links = contracted(labels, _links(settle_narrow(pairs), sets), links)
+        pairs = settle_narrow(_pairs(live, heads).distinct())
+        labels, links = contracted(labels, _links(pairs, sets), links)
         open_lists = lists.join(heads.select("list").distinct(), "list", "left_semi")
         done = heads.select("list", F.col("p_node").alias("node"))
         lists = settle_narrow(open_lists.join(done, ["list", "node"], "left_anti"))

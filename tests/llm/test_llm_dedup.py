@@ -119,6 +119,43 @@ def test_near_duplicates_that_share_most_but_do_not_link(spark, monkeypatch):
     assert sum(met) < 3 * len(rows)
 
 
+def test_near_duplicates_meet_in_one_of_their_lists(spark, monkeypatch):
+    """Near copies of one text share many lists, and copies of a pair share lists of the same members."""
+    draw = random.Random(6)
+    words = [f"w{k}" for k in range(300)]
+    rows = []
+    for i in range(50):
+        own = list(words)
+        for at in draw.sample(range(300), 4):
+            own[at] = f"n{i}x{at}"
+        rows.append((i, " ".join(own), None))
+    for i in range(100, 130):
+        own = [f"p{i}x{k}" for k in range(120)]
+        rows += [(i, " ".join(own), None), (i + 100, " ".join(["new", *own[1:]]), None)]
+    lists, members, passed, kept = [], [], [], shingle_join._one_of_equal
+    pairs = shingle_join._pairs
+
+    def one_of_equal(rows):
+        found = kept(rows)
+        lists.append((rows.select("list").distinct().count(), found.select("list").distinct().count()))
+        members.extend(set(x.members) for x in found.groupBy("list").agg(F.collect_list("node").alias("members")).collect())
+        return found
+
+    def counted(live, heads):
+        found = pairs(live, heads)
+        passed.append((found.count(), found.distinct().count()))
+        return found
+
+    monkeypatch.setattr(shingle_join, "_one_of_equal", one_of_equal)
+    monkeypatch.setattr(shingle_join, "_pairs", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = [tuple(r) for r in shingle_join.near_duplicates(docs).collect()]
+    assert sorted(found, key=key) == components(rows)
+    (before, after), = lists
+    assert after < before / 2 and len({frozenset(x) for x in members}) == len(members) == after
+    assert sum(n for n, _ in passed) <= 2 * sum(n for _, n in passed) < 10 * len(rows)
+
+
 def test_bits_leave_room_for_every_link():
     """Sets that link differ in no more bits than shingles, and all their shingles but few are shared."""
     draw = np.random.default_rng(1)
