@@ -65,6 +65,11 @@ class WordBpe:
         self.by_word: dict[str, list[int]] = {}
         self.by_chunk: dict[bytes, tuple[int, bytes, bytes]] = {}
 
+    def forget(self) -> None:
+        """Drop the remembered words; the vocabulary stays."""
+        self.by_word.clear()
+        self.by_chunk.clear()
+
     def merge_word(self, data: bytes) -> list[int]:
         parts = [self.first_ids[b] for b in data]
         parts[-1] = self.end_ids[data[-1]]
@@ -191,6 +196,8 @@ def encode(docs: DataFrame, path: str, carried: Sequence[str] = ()) -> DataFrame
                 digests = hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
                 numbers = np.array(ids.split(), np.int32)
                 yield doc_id, *(o[at] for o in others), count, numbers, *digests
+        # The worker may wait beside the next stage of a pipeline.
+        bpe.forget()
 
     own = [F.col(c).alias(f"carried_{k}") for k, c in enumerate(carried)]
     wanted = docs.select(*doc_columns(), *own)

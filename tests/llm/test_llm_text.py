@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
 from skymart.llm import bpe, kneser_ney, language_id, personal_data, token_counts
+from skymart.llm.arrow import give_back, map_rows
 
 ODD = string.printable + "éÉßΣσςİıàñ中文字😀́  \x1c\x85½²ⅷﬁǄ'"
 
@@ -353,3 +354,32 @@ def test_overlapping_candidates_equal_a_plain_choice(spark):
             if all(c[4] <= k[1] or k[2] <= c[1] for k in kept):
                 kept.append((c[3], c[1], c[4]))
         assert sorted(map(tuple, found)) == sorted(kept)
+
+
+def test_encoding_leaves_no_words_in_its_workers(spark):
+    """Workers are used again, and wait beside later stages with what they remember."""
+    texts = [(i, " ".join(f"word{i}x{k}" for k in range(50))) for i in range(64)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(8)
+    words = path("word_bpe_49k.json")
+    assert bpe.encode(docs, words).filter("n_tokens > 0").count() == len(texts)
+    vocabulary = spark.sparkContext.broadcast(bpe._vocabulary(words))
+
+    def remembered(batches):
+        for _ in batches:
+            pass
+        own = bpe._loaded(vocabulary.value, bpe.REMEMBERED_BESIDE_IDS)
+        yield len(own.by_word) + len(own.by_chunk),
+
+    assert map_rows(docs, remembered, "words long").agg({"words": "sum"}).first()[0] == 0
+
+
+def test_free_memory_goes_back_to_the_system():
+    def used() -> int:
+        with open("/proc/self/smaps_rollup") as file:
+            return sum(int(x.split()[1]) for x in file if x.startswith("Pss_Anon")) // 1024
+
+    blocks = [np.ones(8000) for _ in range(4000)]  # 64 kB each, which the C library keeps
+    blocks = blocks[1::100]
+    before = used()
+    give_back()
+    assert used() < before - 150 and blocks[0].sum() == 8000
