@@ -478,3 +478,44 @@ def test_range_lookup_in_cells(spark, monkeypatch):
     assert rows(found) == rows(plain)
     assert found.filter("label is null").count() >= 2
     assert not any({"_value", "label"} <= set(columns) for columns in written)
+
+
+def _dealt(plan):
+    """Rows that every exchange of an executed plan wrote."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _dealt(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return _dealt(plan.plan())
+    own = [plan.metrics().apply("shuffleRecordsWritten").value()] if plan.nodeName() == "Exchange" else []
+    return sum((_dealt(plan.children().apply(n)) for n in range(plan.children().size())), own)
+
+
+def test_range_lookup_deals_facts_once(spark):
+    """Where rows are too many to be written, facts are not copied for every part of their ranges."""
+    facts = spark.range(3000).selectExpr("id", "cast(id as double) as v")
+    ranges = spark.range(3000).selectExpr("id as label", "-1.0 - id as low", "3000.5D + id as high")
+    found = lookups.range_lookup(facts, ranges, "v", "low", "high", max_pairs=0)
+    executed = found._jdf.queryExecution()
+    assert executed.toRdd().count() == 3000 * 3000
+    assert max(_dealt(executed.executedPlan())) <= 6000
+
+
+def test_range_lookup_in_slices(spark, monkeypatch):
+    """Values over several slices, repeated rows, open, endless and NaN bounds, and facts in no range."""
+    for name, n in {"CELL_FACTS": 8, "CELL_RANGES": 6, "PACKET": 3, "BLOCK": 2}.items():
+        monkeypatch.setattr(lookups, name, n)
+    values = [n % 40 * 3 for n in range(120)] + [30] * 60 + [-500, 7000, None]
+    facts = [(n // 2, v, {"k": n // 2}) for n, v in enumerate(v for v in values for _ in range(2))]
+    facts = spark.createDataFrame(facts, "id int, v int, more map<string,int>")
+    endless, nan = float("inf"), float("nan")
+    bounds = [(n, n * 5.0 + 0.5, n * 5.0 + n % 4 * 2.25) for n in range(22)]
+    bounds += [(50, None, 29.5), (51, 29.5, 30.5), (51, 29.5, 30.5), (52, 117.0, endless), (53, 90.0, nan), (54, nan, 1.0)]
+    bounds += [(55, 30.0, 30.0), (56, 9.0, 8.0), (None, 60.0, 61.5)]
+    for some in (bounds, [b for b in bounds if b[0] not in (50, 52, 53)]):
+        ranges = spark.createDataFrame(some, "label int, low double, high double")
+        found = lookups.range_lookup(facts, ranges, "v", "low", "high", max_broadcast=1, max_pairs=0)
+        plain = lookups.range_lookup(facts, ranges, "v", "low", "high", max_broadcast=100)
+        assert found.dtypes == plain.dtypes
+        rows = lambda df: sorted(map(str, df.collect()))
+        assert rows(found) == rows(plain)
+        assert plain.filter("v is not null and label is null").count() >= 4
